@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import importlib.util
-import sys
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import materialize
 from .exact_dedup import exact_dedup
+from .line_dedup import line_dedup
+from .mixing import mix_sources
+from .packing import pack
+from .sharding import shard_by_bytes
 
 
 def docs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +23,40 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs_of(spark, sf_dir), carry={"text_sha256": F.sha2("_norm", 256)})
 
 
+def tokenizer() -> tuple[str, str]:
+    """The byte-level BPE of the public tokenizers: path of its ranks and its pattern."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
+    sizes = materialize(docs_of(spark, sf_dir).select("doc_id", "source", size.alias("size")), "sizes")
+    return mix_sources(sizes, "size")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(docs_of(spark, sf_dir), *tokenizer())
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    sized = docs_of(spark, sf_dir).select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    placed = shard_by_bytes(sized, "size", 16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(docs_of(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_mixing": op5_mixing,
+    "op6_packing": op6_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_sharding": op9_sharding,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -31,4 +65,12 @@ ORACLE_SQL: dict[str, str] = {
              h AS (SELECT doc_id, sha256(t) AS s FROM n),
              g AS (SELECT s, min(doc_id) AS keep_id, count(*) AS group_size FROM h GROUP BY s)
         SELECT h.doc_id, g.keep_id, g.group_size, h.doc_id = g.keep_id AS kept, h.s AS text_sha256 FROM h JOIN g USING (s)""",
+    "op10_line_dedup": r"""
+        WITH l AS (SELECT doc_id, line, pos FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents) d,
+                   LATERAL (SELECT unnest(a) AS line, generate_subscripts(a, 1) AS pos) x),
+             k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+             o AS (SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+             m AS (SELECT k.*, o.owner IS NOT NULL AND k.doc_id > o.owner AS gone FROM k LEFT JOIN o ON k.key = o.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id""",
 }
