@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import kneser_ney
 from .common import materialize
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
@@ -30,6 +31,12 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = docs_of(spark, sf_dir).select("doc_id", "text", (F.crc32(F.col("doc_id").cast("string")) % 7 == 2).alias("held_out"))
+    model = kneser_ney.train(docs.where("NOT held_out"))
+    return kneser_ney.score(docs, model).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
     sizes = materialize(docs_of(spark, sf_dir).select("doc_id", "source", size.alias("size")), "sizes")
@@ -52,6 +59,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_lm_scoring": op2_lm_scoring,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
     "op8_exact_dedup": op8_exact_dedup,
