@@ -71,7 +71,7 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _blobs(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
     """One row for each shard: keys sorted within it.  `shard` ascends with the keys."""
     edge = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(shard) else np.zeros(0, np.int64)
-    ends = np.append(edge[1:], len(keys))
+    ends = np.append(edge[1:], len(keys))[: len(edge)]
     rows = [(int(shard[a]), keys[a:b].tobytes(), counts[a:b].astype("<u4").tobytes()) for a, b in zip(edge, ends, strict=True)]
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["shard", "keys", "counts"])
 
