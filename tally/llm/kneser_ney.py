@@ -8,6 +8,7 @@ task that owns the shard and mapped, not loaded, by the tasks that score.
 
 from __future__ import annotations
 
+import operator
 import os
 import uuid
 from collections.abc import Iterator
@@ -23,8 +24,8 @@ from pyspark.sql import types as T
 from .common import shared_path
 from .tokens import texts_in
 
-#: Not words (a word holds no space): the end of each text, the start before it, an unknown word.
-END, START = b" end", b" start"
+#: Not a word (a word holds no space): the end of each text.
+END = b" end"
 LOW = np.uint64(0xFFFFFFFF)
 PAIR = np.dtype([("key", "<u8"), ("n", "<u4")])
 
@@ -150,17 +151,25 @@ class Vocabulary:
         return np.fromiter(map(self.cache.__getitem__, words), np.int64, len(words))
 
 
-def _streams(vocabulary: Vocabulary, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _streams(vocabulary: Vocabulary, texts: list[bytes | None], stutter: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all tokens of the texts, of the tokens before them, and tokens per text.
 
-    The start before a text has the id size + 1: no text holds it as a token.
+    The start before a text has the id size + 1: no text holds it as a token.  With `stutter`, a
+    word equal to the one before it counts as unknown.
     """
     split = [[*(t or b"").lower().split(), END] for t in texts]
     n = np.fromiter(map(len, split), np.int64, len(split))
-    ids = vocabulary.ids([w for words in split for w in words])
+    flat = [w for words in split for w in words]
+    ids = vocabulary.ids(flat)
+    first = np.concatenate([[0], n.cumsum()[:-1]]).astype(np.int64)
+    if stutter:
+        same = np.zeros(len(ids), bool)
+        same[1:] = np.fromiter(map(operator.eq, flat[1:], flat), bool, len(flat) - 1)
+        same[first] = False
+        ids[same] = vocabulary.size
     before = np.empty_like(ids)
     before[1:] = ids[:-1]
-    before[np.concatenate([[0], n.cumsum()[:-1]]).astype(np.int64)] = vocabulary.size + 1
+    before[first] = vocabulary.size + 1
     return ids, before, n
 
 
@@ -235,9 +244,9 @@ class Model:
                 out[a:b] = np.where(hit, counts, 0)
         return out
 
-    def score(self, texts: list[bytes | None]) -> dict[str, np.ndarray]:
+    def score(self, texts: list[bytes | None], stutter: bool = False) -> dict[str, np.ndarray]:
         """Per text: n_tokens, n_known, base and score, the log10 probabilities of both models."""
-        ids, before, n = _streams(self.vocabulary, texts)
+        ids, before, n = _streams(self.vocabulary, texts, stutter)
         size = self.vocabulary.size
         words, back = np.unique(ids, return_inverse=True)
         table = self._word(words)
@@ -414,10 +423,11 @@ def train(docs: DataFrame, text_col: str = "text", tokens_per_shard: int = 2_000
     return Model(vocabulary, bounds, tokens, int(seen[4]), (d1, d2), freed=freed)
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, text_col: str = "text", stutter: bool = False) -> DataFrame:
     """Adds n_tokens, n_known, base_score and score to the rows of docs; text_col is left out.
 
-    Null text counts as empty: one token, its end.  The arrays are mapped by each Python worker,
+    With `stutter`, a word equal to the one before it is scored as an unknown word.  Null text
+    counts as empty: one token, its end.  The arrays are mapped by each Python worker,
     so memory holds only pages that were touched.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few numbers for each shard
@@ -428,7 +438,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch, texts in texts_in(batches, "_text"):
-            got = own.score(texts)
+            got = own.score(texts, stutter)
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *(pa.array(got[x]) for x in names)], names=[f.name for f in schema])
 
     return docs.withColumn("_text", F.col(text_col).cast("string")).select(*[F.col(f.name) for f in kept], "_text").mapInArrow(run, schema)

@@ -13,6 +13,7 @@ from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .mixing import mix_sources
 from .packing import pack
+from .quality import classify_quality
 from .sharding import shard_by_bytes
 
 
@@ -31,6 +32,10 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(docs_of(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs_of(spark, sf_dir).select("doc_id", "text", (F.crc32(F.col("doc_id").cast("string")) % 7 == 2).alias("held_out"))
     model = kneser_ney.train(docs.where("NOT held_out"))
@@ -59,6 +64,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scoring": op2_lm_scoring,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
