@@ -15,6 +15,7 @@ from .mixing import mix_sources
 from .packing import pack
 from .quality import classify_quality
 from .sharding import shard_by_bytes
+from .substring import substring_dedup
 
 
 def docs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +53,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs_of(spark, sf_dir), *tokenizer())
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(docs_of(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     sized = docs_of(spark, sf_dir).select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lm_scoring": op2_lm_scoring,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sharding": op9_sharding,
     "op10_line_dedup": op10_line_dedup,
