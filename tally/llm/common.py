@@ -61,8 +61,8 @@ def with_bit(df: DataFrame, hash_column: Column, words: DataFrame, log2_bits: in
 def bit_array(hashes: DataFrame, column: str, log2_bits: int):
     """The same filter as a broadcast numpy array of 2**log2_bits bits for Python tasks."""
     table = np.zeros(max(1, (1 << log2_bits) >> 6), np.uint64)
-    for word, bits in bit_words(hashes, column, log2_bits).toLocalIterator():
-        table[word] = np.uint64(bits & 0xFFFFFFFFFFFFFFFF)
+    words = bit_words(hashes, column, log2_bits).toArrow()
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.int64).view(np.uint64)
     return hashes.sparkSession.sparkContext.broadcast(table)
 
 

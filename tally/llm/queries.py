@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import kneser_ney
 from .common import materialize
 from .exact_dedup import exact_dedup
+from .jaccard import jaccard_join
 from .line_dedup import line_dedup
 from .mixing import mix_sources
 from .packing import pack
@@ -43,6 +44,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score(docs, model).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(docs_of(spark, sf_dir))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
     sizes = materialize(docs_of(spark, sf_dir).select("doc_id", "source", size.alias("size")), "sizes")
@@ -71,6 +76,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_jaccard_join": op3_jaccard_join,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
     "op7_substring_dedup": op7_substring_dedup,
