@@ -13,6 +13,7 @@ from .exact_dedup import exact_dedup
 from .jaccard import jaccard_join
 from .line_dedup import line_dedup
 from .mixing import mix_sources
+from .neardup import near_duplicates
 from .packing import pack
 from .quality import classify_quality
 from .sharding import shard_by_bytes
@@ -48,6 +49,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(docs_of(spark, sf_dir))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
     sizes = materialize(docs_of(spark, sf_dir).select("doc_id", "source", size.alias("size")), "sizes")
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
     "op7_substring_dedup": op7_substring_dedup,
