@@ -58,6 +58,17 @@ def with_bit(df: DataFrame, hash_column: Column, words: DataFrame, log2_bits: in
     return out.withColumn(flag, test).drop(h, w, f"{flag}_b")
 
 
+def leave_out(df: DataFrame, gone: DataFrame, key: Column, log2_most: int = 24) -> DataFrame:
+    """Rows of df whose key isn't in `gone` (one string column).  Only rows that a bounded bit filter
+    lets through are shuffled and joined; all others stay where they are."""
+    named = materialize(gone.select(F.col(gone.columns[0]).alias("_gone")).distinct(), "gone")
+    bits = bits_for(named.count(), log2_most)
+    words = bit_words(named.select(F.xxhash64("_gone").alias("_h")), "_h", bits)
+    marked = with_bit(df.withColumn("_key", key), F.xxhash64("_key"), words, bits, "_maybe")
+    stay = marked.where("NOT _maybe").select(*df.columns)
+    return stay.unionByName(marked.where("_maybe").join(named, F.col("_key") == F.col("_gone"), "left_anti").select(*df.columns))
+
+
 def bit_array(hashes: DataFrame, column: str, log2_bits: int):
     """The same filter as a broadcast numpy array of 2**log2_bits bits for Python tasks."""
     table = np.zeros(max(1, (1 << log2_bits) >> 6), np.uint64)
