@@ -42,7 +42,7 @@ def _lines(least_length: int):
     return explode
 
 
-@F.pandas_udf("struct<text:string,n_lines:long,n_dropped:long>")
+@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]))
 def _rebuild(text, drop):
     import pandas as pd
 

@@ -402,7 +402,8 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector_col: s
         single = materialize(single.select(F.col("k").alias("_s"), "n_single"), "single-counts")
         counted = materialize(counted.join(single, F.col("k") == F.col("_s"), "left").select("k", "id", "ball", (F.col("n_ball") + F.coalesce("n_single", F.lit(0))).alias("n_links")), "counts")
         found = {r["k"]: r["n_links"] for r in counted.where(F.col("k").isin([int(x) for x in asked[0]])).select("k", "n_links").collect()}
-        recall = sum(min(found[x], n) for x, n in truth.items()) / max(1, sum(truth.values()))
+        shares = [min(found[x], n) / n for x, n in truth.items() if n]
+        recall = sum(shares) / len(shares) if shares else 1.0
         if recall >= least_recall or width >= 400:
             break
         width *= 4
