@@ -370,7 +370,7 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector_col: s
     graph = build_graph(centres, shared, rows_each, degree, alpha, overlap)
     graph_b = spark.sparkContext.broadcast(graph)  # paths and medoids only
 
-    parts = F.ceil(F.col("size") / 512).cast("long")
+    parts = F.ceil(F.col("size") / 128).cast("long")
     blocked = members.join(size.select(F.col("ball").alias("_b"), "size"), F.col("ball") == F.col("_b")).withColumn("block", F.pmod(F.xxhash64("k"), parts))
     blocks = materialize(blocked.select("ball", "block", "k", "v").groupBy("ball", "block").applyInArrow(_pack_block, "ball long, ids binary, vectors binary"), "blocks")
     chosen = good.withColumn("_h", F.xxhash64("k")).orderBy("_h").limit(audit).select("k", "v").toArrow()
