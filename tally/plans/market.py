@@ -1,0 +1,129 @@
+"""The market snapshot: metrics of visible tools, countries, facet rollups, coverage and gates.
+
+One lazily built graph; the driver sees the months, one row of coverage and the verdict of the gates.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tally.functions import numbers as N
+from tally.operators import relational as R
+
+# Least covered share of tools with traffic, in basis points, and measures compared with the last snapshot.
+ABSOLUTE_GATES = {"search_tools": 2500, "paid_tools": 2500, "ai_tools": 100, "dr_tools": 2500, "dr_comparable_tools": 100, "country_tools": 2500, "country_ai_tools": 100}
+RELATIVE_GATES = ["total_tools", "traffic_tools", "search_tools", "paid_tools", "ai_tools", "dr_tools", "dr_comparable_tools", "country_rows", "country_tools", "country_ai_rows", "country_ai_tools"]
+
+
+def is_visible() -> Column:
+    return (
+        (F.col("status") == "published") & (F.col("content_safety_status") == "safe") & F.col("duplicate_of_tool_id").isNull()
+        & F.col("verification_status").isin("verified", "pending") & F.col("staleness_status").isin("fresh", "aging")
+    )
+
+
+def visible_tools(tools: DataFrame) -> DataFrame:
+    """One visible tool per domain: the first published (or listed), then the smallest id."""
+    named = tools.where(is_visible()).withColumn("domain", F.lower(F.trim("normalized_domain")))
+    first = R.first_per_key(named, ["domain"], [F.coalesce("first_published_at", "listed_at").asc_nulls_first(), F.col("id")])
+    return first.select(F.col("id").alias("tool_id"), "domain", "primary_category_id")
+
+
+def released_months(checks: DataFrame, traffic: DataFrame, source: str, month: str | None = None) -> tuple:
+    """The latest released month and the one before it; a month that is asked for passes without the gate."""
+    seen = traffic.where(F.col("source") == source).select("traffic_month").distinct()
+    gate = checks.where((F.col("source") == source) & (F.col("status") == "available")).select("traffic_month")
+    gated = seen.join(F.broadcast(gate), "traffic_month", "left_semi")
+    if month is None:
+        month = gated.agg(F.max("traffic_month")).first()[0]
+        if month is None:
+            raise ValueError("no month is released")
+    return month, gated.where(F.col("traffic_month") < F.lit(month)).agg(F.max("traffic_month")).first()[0]
+
+
+def tool_metrics(visible: DataFrame, traffic: DataFrame, ratings: DataFrame, month, baseline) -> DataFrame:
+    """traffic: domain, traffic_month, visits, ai_visits, gen_ai_share, metrics_json; ratings: domain, observed_date, rating."""
+    share = lambda name: F.coalesce(*[F.get_json_object("metrics_json", p).try_cast("double") for p in (f"$.traffic_sources.{name}", f"$.{name}_traffic_share")])
+    now = traffic.where(F.col("traffic_month") == F.lit(month))
+    now = now.select("domain", "visits", "ai_visits", "gen_ai_share", N.search_share(share("search"), share("search_organic"), share("search_paid")).alias("search"), share("search_organic").alias("organic"), share("search_paid").alias("paid"))
+    before = traffic.where(F.col("traffic_month") == F.lit(baseline)).select("domain", F.col("visits").alias("visits_before"), F.col("ai_visits").alias("ai_before"))
+    dr = R.nearest_baseline(ratings, "domain", "observed_date", "rating", 20, 45, 30)
+    m = visible.join(now, "domain", "left").join(before, "domain", "left").join(dr, "domain", "left")
+    bps = {name: N.round_bps(name) for name in ("search", "organic", "paid")}
+    return m.select(
+        "tool_id", "domain", "primary_category_id", "visits", "visits_before", (F.col("visits") - F.col("visits_before")).alias("visits_delta"), N.growth_rate("visits", "visits_before").alias("visits_growth"),
+        *[c.alias(f"{name}_share_bps") for name, c in bps.items()], N.round_bps("gen_ai_share").alias("gen_ai_share_bps"),
+        N.modeled_visits("visits", bps["search"]).alias("search_visits"), N.modeled_visits("visits", bps["paid"]).alias("paid_visits"),
+        "ai_visits", (F.col("ai_visits") - F.col("ai_before")).alias("ai_delta"), N.growth_rate("ai_visits", "ai_before").alias("ai_growth"),
+        F.col("latest_value").alias("dr"), (F.col("latest_value") - F.col("base_value")).alias("dr_delta"), N.velocity_30d("latest_value", "base_value", "days").alias("dr_velocity"),
+    )
+
+
+def country_metrics(metrics: DataFrame, countries: DataFrame, month) -> DataFrame:
+    """Estimates by country: visits by share, or the stored estimate where visits are unknown."""
+    c = countries.where(F.col("traffic_month") == F.lit(month)).select("domain", "country_code", "country_position", "traffic_share_bps", F.col("estimated_visits").alias("stored"))
+    j = metrics.select("tool_id", "domain", "primary_category_id", "visits", "ai_visits").join(c, "domain")
+    est = lambda v: N.modeled_visits(v, "traffic_share_bps")
+    return j.select("tool_id", "domain", "primary_category_id", "country_code", "country_position", "traffic_share_bps", F.when(F.col("visits").isNull(), F.col("stored")).otherwise(est("visits")).alias("estimated_visits"), est("ai_visits").alias("estimated_ai_visits"))
+
+
+def facet_rollups(metrics: DataFrame, countries: DataFrame, categories: DataFrame) -> DataFrame:
+    """Four grains; grand totals have category 0 and country ''.  Tools of unknown categories count only in totals."""
+    known = F.broadcast(categories.select(F.col("id").alias("category")))
+    tools = metrics.select(F.col("primary_category_id").alias("category"))
+    none = [F.lit(None).cast("long").alias("visits"), F.lit(None).cast("long").alias("ai_visits"), F.lit(0).cast("long").alias("unknown_visits"), F.lit(0).cast("long").alias("unknown_ai_visits")]
+    total = tools.agg(F.count("*").alias("tool_count")).where("tool_count > 0").select(F.lit(0).cast("long").alias("category"), F.lit("").alias("country"), "tool_count", *none)
+    by_category = tools.join(known, "category").groupBy("category").agg(F.count("*").alias("tool_count")).select(F.col("category").cast("long"), F.lit("").alias("country"), "tool_count", *none)
+    one = countries.groupBy(F.col("primary_category_id").alias("category"), F.col("country_code").alias("country"), "domain").agg(F.max("estimated_visits").alias("v"), F.max("estimated_ai_visits").alias("a"))
+    one = one.join(known.withColumn("_known", F.lit(True)), "category", "left").withColumn("category", F.when(F.col("_known"), F.col("category").cast("long")))
+    unknown = lambda c: F.sum(F.col(c).isNull().cast("long"))
+    aggs = [F.count("*").alias("tool_count"), F.sum("v").alias("visits"), F.sum("a").alias("ai_visits"), unknown("v").alias("unknown_visits"), unknown("a").alias("unknown_ai_visits")]
+    both = one.rollup("country", "category").agg(F.grouping_id().alias("_g"), *aggs).where("_g < 3 AND (_g = 1 OR category IS NOT NULL)")
+    by_country = both.select(F.when(F.col("_g") == 1, F.lit(0).cast("long")).otherwise(F.col("category")).alias("category"), "country", "tool_count", "visits", "ai_visits", "unknown_visits", "unknown_ai_visits")
+    return total.unionByName(by_category).unionByName(by_country)
+
+
+def coverage(metrics: DataFrame, countries: DataFrame) -> DataFrame:
+    """One row of counts."""
+    has = lambda c: F.count(c)
+    t = metrics.agg(
+        F.count("*").alias("total_tools"), has("visits").alias("traffic_tools"), has("search_share_bps").alias("search_tools"), has("paid_share_bps").alias("paid_tools"), has("ai_visits").alias("ai_tools"),
+        has("dr").alias("dr_tools"), has("dr_delta").alias("dr_comparable_tools"), F.coalesce(F.sum("visits"), F.lit(0)).alias("visits"),
+    )
+    ai = F.when(F.col("estimated_ai_visits").isNotNull(), F.col("tool_id"))
+    c = countries.agg(F.count("*").alias("country_rows"), F.countDistinct("tool_id").alias("country_tools"), has("estimated_ai_visits").alias("country_ai_rows"), F.countDistinct(ai).alias("country_ai_tools"))
+    return t.crossJoin(c)
+
+
+def gate_failures(now: dict, previous: dict | None = None, ratio: float = 0.95) -> list[str]:
+    """Why a snapshot must not be activated; empty if it may."""
+    out = [f"{k} is 0" for k in ("total_tools", "traffic_tools", "country_tools") if not now[k]]
+    for k, bps in ABSOLUTE_GATES.items():
+        least = max(1, (now["traffic_tools"] * bps + 9999) // 10000)
+        if now[k] < least:
+            out.append(f"{k}: {now[k]} of at least {least}")
+    for k in RELATIVE_GATES if previous else []:
+        if previous[k] > 0 and now[k] < previous[k] * ratio:
+            out.append(f"{k}: {now[k]} after {previous[k]}")
+    return out
+
+
+@dataclass
+class Snapshot:
+    month: object
+    baseline: object
+    tools: DataFrame
+    countries: DataFrame
+    rollups: DataFrame
+    coverage: DataFrame
+
+
+def build(tools: DataFrame, traffic: DataFrame, countries: DataFrame, ratings: DataFrame, checks: DataFrame, categories: DataFrame, source: str, month=None) -> Snapshot:
+    month, baseline = released_months(checks, traffic, source, month)
+    own = traffic.where(F.col("source") == source)
+    metrics = tool_metrics(visible_tools(tools), own, ratings, month, baseline)
+    c = country_metrics(metrics, countries.where(F.col("source") == source), month)
+    return Snapshot(month, baseline, metrics, c, facet_rollups(metrics, c, categories), coverage(metrics, c))
