@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: ASCII white space of the contracts: space and \x09 to \x0D.
 SPACE = r"[\x20\x09-\x0D]+"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -29,9 +30,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends there, so lost
     executors cost a reread, and no later stage repeats the work or sees another partitioning."""
-    path = shared_path(df.sparkSession, name)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
+    old = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, "4m")  # whole texts go to Python: batches by bytes, not by rows
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(BATCH_BYTES, old)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def bits_for(n: int, most: int, per_key: int = 16) -> int:

@@ -23,7 +23,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """bytes -> 64-bit hash; forgets all words when it holds too many."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 
@@ -42,7 +42,7 @@ def words_of(text: bytes | None, lower: bool) -> list[bytes]:
     return ((text or b"").lower() if lower else text or b"").split()
 
 
-def texts_in(batches: Iterator[pa.RecordBatch], text: str, most: int = 3_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+def texts_in(batches: Iterator[pa.RecordBatch], text: str, most: int = 1_500_000) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
     """Slices of the batches with at most `most` bytes of text, or one row, and their texts."""
     for batch in batches:
         texts = batch.column(text).cast(pa.large_binary()).to_pylist()
