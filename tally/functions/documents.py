@@ -219,7 +219,7 @@ def dom_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html")
                 parser.feed(page or "")
                 parser.close()
                 for i, n in enumerate(parser.nodes):
-                    text = " ".join("".join(n["text"]).split())
+                    text = " ".join(" ".join(n["text"]).split())
                     rows.append((key, i, n["parent"], max(i, n["end"]), n["tag"], n["attributes"], n["hidden"], n["table_row"], n["table_column"], text))
             yield pd.DataFrame(rows, columns=["_id", "node", "parent", "end", "tag", "attributes", "hidden", "table_row", "table_column", "text"]).astype({"table_row": "Int32", "table_column": "Int32"})
 

@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from tally.functions import documents as H
 from tally.functions import numbers as N
+from tally.functions import pricing as PR
 from tally.functions import text as X
+from tally.functions.safety import content_safety
 from tally.operators import claims as C
+from tally.operators import page_claims as PC
 from tally.operators import relational as R
 from tally.sources.tables import table
 
@@ -436,6 +439,25 @@ def pricing_regions(spark: SparkSession, d: str) -> DataFrame:
     return H.pricing_regions(H.dom_nodes(table(spark, d, "pages")), least=3).select("page_id", "root", "end", "score")
 
 
+@query()
+def page_claims(spark: SparkSession, d: str) -> DataFrame:
+    """Price claims of each page's region (H-5, H-7); tested on literal pages."""
+    nodes = H.dom_nodes(table(spark, d, "pages"))
+    return PC.claims(PC.region_nodes(nodes, H.pricing_regions(nodes, least=3)))
+
+
+@query()
+def text_plans(spark: SparkSession, d: str) -> DataFrame:
+    """Priced plans in every document (H-12); tested on literal texts."""
+    return PR.text_plans(table(spark, d, "documents"), "doc_id", "text").select("doc_id", F.size("plans").alias("n_plans"), F.get("plans", F.lit(0))["amount"].alias("least"))
+
+
+@query(r"""SELECT page_id, CASE WHEN regexp_matches(v, '(?i)\bnsfw\b|\bxxx\b|\bsexting\b') THEN 'nsfw' ELSE 'needs_review' END AS status FROM (SELECT page_id, substr(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?i)<script\b[\s\S]*?</script>', ' ', 'g'), '(?i)<style\b[\s\S]*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), 1, 12000) AS v FROM pages)""")
+def page_safety(spark: SparkSession, d: str) -> DataFrame:
+    """Content safety of every page by rules (H-19)."""
+    return table(spark, d, "pages").select("page_id", content_safety(H.visible_text("html"), X.domain("url"))["status"].alias("status"))
+
+
 @query("""SELECT doc_id, CAST(round(n_chars / 100.0) AS BIGINT) AS hundreds, n_chars // 1000 AS thousands FROM documents""")
 def integer_arithmetic(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.round(F.col("n_chars") / 100.0).cast("long").alias("hundreds"), F.floor(F.col("n_chars") / 1000).cast("long").alias("thousands"))
