@@ -105,21 +105,24 @@ def claims(nodes: DataFrame, id_col: str = "page_id") -> DataFrame:
     found = nodes.groupBy(id_col).agg(*[F.when(F.max(t), least(t)).alias(name) for name, t in tests.items()])
     no_error = F.lit(None).cast("string")
 
-    def simple(name: str, source: Column, value: Column, status: Column | str = "not_applicable", error: Column = no_error) -> DataFrame:
+    made: list[Column] = []
+
+    def claim(name: str, of: Column, value: Column, status="not_applicable", error: Column = no_error, when: Column | None = None) -> None:
         status = F.lit(status) if isinstance(status, str) else status
-        return found.where(source.isNotNull()).select(id_col, F.lit(name).alias("claim_type"), value.alias("value"), source["node"].alias("node"), status.alias("status"), error.alias("error"))
+        cells = F.struct(F.lit(name).alias("claim_type"), value.cast("string").alias("value"), of["node"].alias("node"), status.alias("status"), error.alias("error"))
+        made.append(F.when(of.isNotNull() if when is None else when, cells))
 
     yes = F.lit("true")
     trial, allow = F.col("has_free_trial"), F.col("free_allowance")
     part = lambda c, p, i: F.nullif(F.regexp_extract(c["text"], p, i), F.lit(""))
     unit = unit_name(part(allow, ALLOWANCE, 2))
     amount = N.decimal_string(N.quantity(part(allow, ALLOWANCE, 1)))
-    out = simple("has_free_plan", F.col("has_free_plan"), yes)
-    out = out.unionByName(simple("has_free_trial", trial, F.to_json(F.struct(F.lit(True).alias("available"), part(trial, FREE_TRIAL, 1).alias("duration"), F.lower(part(trial, FREE_TRIAL, 2)).alias("duration_unit"))), "normalized"))
+    claim("has_free_plan", F.col("has_free_plan"), yes)
+    claim("has_free_trial", trial, F.to_json(F.struct(F.lit(True).alias("available"), part(trial, FREE_TRIAL, 1).alias("duration"), F.lower(part(trial, FREE_TRIAL, 2)).alias("duration_unit"))), "normalized")
     card = F.coalesce(F.col("no_card"), F.col("card"))
-    out = out.unionByName(simple("card_required", card, F.when(F.col("no_card").isNotNull(), "false").otherwise("true")))
-    out = out.unionByName(simple("has_custom_quote", F.col("has_custom_quote"), yes))
-    out = out.unionByName(simple("free_allowance", allow, F.to_json(F.struct(amount.alias("quantity"), unit.alias("unit"), unit_family(unit).alias("unit_family"), period_name(part(allow, ALLOWANCE, 3)).alias("period"))), "normalized"))
+    claim("card_required", card, F.when(F.col("no_card").isNotNull(), "false").otherwise("true"))
+    claim("has_custom_quote", F.col("has_custom_quote"), yes)
+    claim("free_allowance", allow, F.to_json(F.struct(amount.alias("quantity"), unit.alias("unit"), unit_family(unit).alias("unit_family"), period_name(part(allow, ALLOWANCE, 3)).alias("period"))), "normalized")
 
     p = prices(nodes, id_col)
     value, why = currency_of(F.col("code"), F.col("symbol"))
@@ -136,25 +139,23 @@ def claims(nodes: DataFrame, id_col: str = "page_id") -> DataFrame:
         F.max(F.col("near").rlike(SUBSCRIPTION)).alias("subscription"), F.max(F.col("near").rlike(ONE_TIME)).alias("one_time"),
     )
 
-    def priced(name: str, of: str, value: Column, status: Column, error: Column = no_error, when: Column | None = None) -> DataFrame:
-        test = F.col(of).isNotNull() if when is None else when
-        return best.where(test).select(id_col, F.lit(name).alias("claim_type"), value.alias("value"), F.col(of)["node"].alias("node"), status.alias("status"), error.alias("error"))
-
     state = lambda c: F.when(F.col(c)["why"].isNull(), "normalized").otherwise("failed")
-    out = out.unionByName(priced("has_paid_pricing", "paid", yes, F.lit("not_applicable")))
-    out = out.unionByName(priced("starting_paid_price", "start", F.col("start")["plain"], state("start"), F.col("start")["why"]))
-    out = out.unionByName(priced("starting_price_period", "start", F.col("start")["period"], F.lit("normalized"), when=F.col("start")["period"].isNotNull()))
-    out = out.unionByName(priced("has_usage_pricing", "usage", yes, F.lit("not_applicable")))
-    out = out.unionByName(priced("usage_rate", "usage", F.col("usage")["rate"], state("usage"), F.col("usage")["why"]))
+    claim("has_paid_pricing", F.col("paid"), yes, F.lit("not_applicable"))
+    claim("starting_paid_price", F.col("start"), F.col("start")["plain"], state("start"), F.col("start")["why"])
+    claim("starting_price_period", F.col("start"), F.col("start")["period"], F.lit("normalized"), when=F.col("start")["period"].isNotNull())
+    claim("has_usage_pricing", F.col("usage"), yes, F.lit("not_applicable"))
+    claim("usage_rate", F.col("usage"), F.col("usage")["rate"], state("usage"), F.col("usage")["why"])
 
-    both = found.select(id_col, F.col("has_custom_quote").alias("quote")).join(best, id_col, "left")
     is_ = lambda c, name: F.when(F.coalesce(c, F.lit(False)), name)
-    metered_model = F.col("usage").isNotNull()
-    kinds = F.array(is_(F.col("subscription"), "recurring"), is_(metered_model, "metered"), is_(F.col("one_time"), "one_time"), is_(F.col("quote").isNotNull(), "custom_quote"))
+    quote, metered_model = F.col("has_custom_quote"), F.col("usage").isNotNull()
+    kinds = F.array(is_(F.col("subscription"), "recurring"), is_(metered_model, "metered"), is_(F.col("one_time"), "one_time"), is_(quote.isNotNull(), "custom_quote"))
     hybrid = F.size(F.filter(kinds, lambda x: x.isNotNull())) > 1
     models = F.array(
-        is_(F.col("usage")["unit"].isin("credit", "point"), "credit_based"), is_(F.col("quote").isNotNull(), "custom_quote"), is_(hybrid, "hybrid"), is_(F.col("one_time"), "one_time"),
+        is_(F.col("usage")["unit"].isin("credit", "point"), "credit_based"), is_(quote.isNotNull(), "custom_quote"), is_(hybrid, "hybrid"), is_(F.col("one_time"), "one_time"),
         is_(F.col("start")["kind"] == "seat", "per_seat"), is_(F.col("subscription"), "subscription"), is_(metered_model, "usage_based"),
     )
-    named = both.select(id_col, F.filter(models, lambda x: x.isNotNull()).alias("models"), F.coalesce(F.col("quote")["node"], F.col("paid")["node"]).alias("node")).where(F.size("models") > 0)
-    return out.unionByName(named.select(id_col, F.lit("pricing_models").alias("claim_type"), F.to_json("models").alias("value"), "node", F.lit("normalized").alias("status"), no_error.alias("error")))
+    models = F.filter(models, lambda x: x.isNotNull())
+    source = F.struct(F.coalesce(quote["node"], F.col("paid")["node"]).alias("node"))
+    claim("pricing_models", source, F.to_json(models), "normalized", when=F.size(models) > 0)
+    every = found.join(best, id_col, "left").select(id_col, F.explode(F.filter(F.array(*made), lambda x: x.isNotNull())).alias("c"))
+    return every.select(id_col, "c.*")

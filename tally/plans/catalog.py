@@ -19,6 +19,7 @@ from tally.functions.safety import content_safety
 from tally.operators import claims as C
 from tally.operators import page_claims as PC
 from tally.operators import relational as R
+from tally.operators import state as ST
 from tally.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -501,3 +502,84 @@ def monthly_deltas(spark: SparkSession, d: str) -> DataFrame:
 def tumbling_hours(spark: SparkSession, d: str) -> DataFrame:
     """Extension: tumbling windows on the event stream's table."""
     return table(spark, d, "events").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "event_type").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
+
+
+# -- state rules ------------------------------------------------------------------------------------
+
+
+@query("""
+    WITH t AS (SELECT o_custkey AS k, max(CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE 'queued' END) AS status, count(*) AS generation, max(o_orderkey % 4) AS attempts FROM orders GROUP BY 1), w AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 2 = 0)
+    SELECT coalesce(t.k, w.k) AS k, CASE WHEN w.k IS NOT NULL AND (t.k IS NULL OR t.status = 'done') THEN 'queued' ELSE t.status END AS status,
+           CASE WHEN t.k IS NULL THEN 1 WHEN w.k IS NOT NULL AND t.status = 'done' THEN generation + 1 ELSE generation END AS generation, CASE WHEN w.k IS NOT NULL AND (t.k IS NULL OR t.status = 'done') THEN 0 ELSE attempts END AS attempts FROM t FULL JOIN w ON t.k = w.k""")
+def requeue_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """Guarded re-queue with generations (M4)."""
+    t = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.max(F.when(F.col("o_orderstatus") == "F", "done").otherwise("queued")).alias("status"), F.count("*").alias("generation"), F.max(F.col("o_orderkey") % 4).alias("attempts"))
+    return ST.requeue(t, table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k")), ["k"])
+
+
+@query("""SELECT event_id, user_id FROM events e WHERE EXISTS (SELECT 1 FROM (SELECT user_id, max(event_id) % 5 AS generation FROM events GROUP BY 1) l WHERE l.user_id = e.user_id AND l.generation = e.event_id % 5)""")
+def fenced_results(spark: SparkSession, d: str) -> DataFrame:
+    """Only results that still hold the lease are written."""
+    e = table(spark, d, "events")
+    leases = e.groupBy("user_id").agg((F.max("event_id") % 5).alias("generation")).withColumn("token", F.lit(1))
+    results = e.select("event_id", "user_id", (F.col("event_id") % 5).alias("generation"), F.lit(1).alias("token"))
+    return ST.fenced(results, leases, ["user_id"]).select("event_id", "user_id")
+
+
+@query("""
+    WITH h AS (SELECT user_id, event_id, event_type, CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) THEN 1 ELSE 0 END AS new FROM events),
+         v AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS version FROM h),
+         r AS (SELECT user_id, CAST(version AS BIGINT) AS version, min(event_id) AS first_seen, max(event_id) AS last_seen, count(*) AS seen FROM v GROUP BY 1, 2)
+    SELECT *, lead(first_seen) OVER (PARTITION BY user_id ORDER BY version) AS superseded_at, CASE WHEN lead(first_seen) OVER (PARTITION BY user_id ORDER BY version) IS NULL THEN 'active' ELSE 'superseded' END AS status FROM r""")
+def content_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Versions by content, each superseded by the next."""
+    e = table(spark, d, "events").select("user_id", "event_id", "event_type")
+    return ST.content_versions(e, ["user_id"], "event_id", ["event_type"]).drop("version_hash")
+
+
+@query("""
+    WITH l AS (SELECT user_id, max(CASE WHEN event_type <> 'error' THEN event_id END) AS ok FROM events GROUP BY 1)
+    SELECT e.user_id, count(*) FILTER (WHERE event_type = 'error' AND (ok IS NULL OR event_id > ok)) AS failures, CASE WHEN count(*) FILTER (WHERE event_type = 'error' AND (ok IS NULL OR event_id > ok)) >= 3 THEN 'needs_manual' ELSE 'automatic' END AS state FROM events e JOIN l ON e.user_id = l.user_id GROUP BY 1""")
+def failure_streaks(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").withColumn("failed", F.col("event_type") == "error")
+    return ST.failure_streak(e, ["user_id"], "event_id", "failed")
+
+
+@query("""
+    WITH f AS (SELECT user_id, min(CASE WHEN regexp_matches(event_type, 'error|purchase') THEN event_id END) AS hit FROM events GROUP BY 1)
+    SELECT event_id, CASE WHEN hit IS NULL OR event_id < hit THEN 'run' WHEN event_id = hit THEN 'tripped' ELSE 'deferred' END AS state FROM events e JOIN f ON e.user_id = f.user_id""")
+def circuit_breaker(spark: SparkSession, d: str) -> DataFrame:
+    return ST.circuit_breaker(table(spark, d, "events"), ["user_id"], "event_id", "event_type", "error|purchase").select("event_id", "state")
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_discount * 10 >= 0.8 THEN 'auto_accepted' WHEN l_discount * 10 >= 0.5 THEN 'provisional' ELSE 'unresolved' END AS band FROM lineitem""")
+def confidence_bands(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", ST.confidence_band(F.col("l_discount") * 10).alias("band"))
+
+
+@query("""
+    WITH r AS (SELECT o_custkey AS k, o_orderkey AS run, CASE WHEN o_orderpriority = '1-URGENT' THEN 'manual' ELSE 'auto' END AS source, o_orderstatus AS status FROM orders)
+    SELECT k, run, source, CASE WHEN run < max(run) OVER (PARTITION BY k) AND source <> 'manual' THEN 'superseded' ELSE status END AS status FROM r""")
+def supersede_runs(spark: SparkSession, d: str) -> DataFrame:
+    r = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("run"), F.when(F.col("o_orderpriority") == "1-URGENT", "manual").otherwise("auto").alias("source"), F.col("o_orderstatus").alias("status"))
+    return ST.supersede(r, ["k"], "run").select("k", "run", "source", "status")
+
+
+@query("""
+    WITH o AS (SELECT c_custkey AS k, c_mktsegment AS v FROM customer WHERE c_custkey % 3 <> 0), n AS (SELECT c_custkey AS k, CASE WHEN c_acctbal < 0 THEN 'DEBT' ELSE c_mktsegment END AS v FROM customer WHERE c_custkey % 4 <> 0)
+    SELECT coalesce(o.k, n.k) AS k, o.v AS old_value, n.v AS new_value FROM o FULL JOIN n ON o.k = n.k WHERE o.v IS DISTINCT FROM n.v""")
+def change_log(spark: SparkSession, d: str) -> DataFrame:
+    """Audit events from two states."""
+    c = table(spark, d, "customer").withColumnRenamed("c_custkey", "k")
+    old = c.where("k % 3 <> 0").select("k", F.col("c_mktsegment").alias("v"))
+    new = c.where("k % 4 <> 0").select("k", F.when(F.col("c_acctbal") < 0, "DEBT").otherwise(F.col("c_mktsegment")).alias("v"))
+    return ST.audit(old, new, ["k"], "v")
+
+
+@query("""
+    SELECT p_brand, list_sort(list_distinct(flatten(list(CASE WHEN n_nationkey IS NULL THEN [] ELSE [n_nationkey, n_regionkey + 100] END)))) AS ids, bool_or(n_nationkey IS NULL) AS invalid
+    FROM part LEFT JOIN nation ON p_size = n_nationkey GROUP BY 1""")
+def category_write_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Leaf and parent ids of each brand; unknown leaves are told."""
+    tree = table(spark, d, "nation").select(F.col("n_nationkey").alias("slug"), F.col("n_nationkey").alias("id"), (F.col("n_regionkey") + 100).alias("parent_id"))
+    return ST.write_plan(table(spark, d, "part"), tree, "p_brand", "p_size")
