@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import re
+import base64
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,38 +17,17 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .tokens import texts_in
 
-_UNEVEN = re.compile(r"\s\s")
 
+class Tokens:
+    """Ids as 16-bit bytes of texts, with a byte-level BPE of fewer than 65,536 ids."""
 
-class Tokens(dict):
-    """Chunk of text -> its ids as 16-bit bytes, with a byte-level BPE of fewer than 65,536 ids.
-
-    A chunk is a space and what follows up to the next one.  The tokenizer's pattern never joins
-    across such a boundary unless white space runs on, so ids of chunks, one after another, are the
-    ids of the text; texts with two white spaces in a row are encoded whole.
-    """
-
-    def __init__(self, ranks_path: str, pattern: str, most: int = 300_000):
-        import base64
-
-        import tiktoken
-
+    def __init__(self, ranks_path: str, pattern: str):
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.most = most
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[chunk] = np.array(self.encode(" " + chunk), "<u2").tobytes()
-        return value
 
     def of(self, text: str) -> bytes:
-        if _UNEVEN.search(text):
-            return np.array(self.encode(text), "<u2").tobytes()
-        first, *rest = text.split(" ")
-        return np.array(self.encode(first), "<u2").tobytes() + b"".join(map(self.__getitem__, rest))
+        return array("H", self.encode(text)).tobytes()
 
 
 def _tokenize(ranks_path: str, pattern: str):

@@ -156,7 +156,7 @@ def tokenizer():
     return P.path("byte_bpe_50k.tiktoken"), P.PATTERN
 
 
-def test_chunked_ids_are_the_tokenizers(tokenizer):
+def test_ids_are_the_tokenizers(tokenizer):
     P, T = pytest.importorskip("public_tokenizers"), pytest.importorskip("tokenizers")
     reference = T.Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     rng, own = random.Random(1), Tokens(*tokenizer)
