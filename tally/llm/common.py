@@ -75,6 +75,15 @@ def leave_out(df: DataFrame, gone: DataFrame, key: Column, log2_most: int = 24)
     return stay.unionByName(marked.where("_maybe").join(named, F.col("_key") == F.col("_gone"), "left_anti").select(*df.columns))
 
 
+def among(df: DataFrame, column: str, ids: DataFrame, log2_most: int = 24) -> DataFrame:
+    """Rows of df whose `column` is in `ids` (one column, written): only rows that a bounded bit filter
+    lets through are shuffled."""
+    bits = bits_for(ids.count(), log2_most)
+    words = bit_words(ids.select(F.xxhash64(ids.columns[0]).alias("_h")), "_h", bits)
+    marked = with_bit(df, F.xxhash64(column), words, bits, "_maybe").where("_maybe").select(*df.columns)
+    return marked.join(ids.select(F.col(ids.columns[0]).alias("_in")), F.col(column) == F.col("_in"), "left_semi")
+
+
 def bit_array(hashes: DataFrame, column: str, log2_bits: int):
     """The same filter as a broadcast numpy array of 2**log2_bits bits for Python tasks."""
     table = np.zeros(max(1, (1 << log2_bits) >> 6), np.uint64)

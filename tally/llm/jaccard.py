@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_array, bits_for, components, materialize, test_bits
+from .common import among, bit_array, bits_for, components, materialize, test_bits
 from .tokens import WordHashes, mix, shingles, texts_in, words_of
 
 #: Filters in Python tasks hold at most 2**27 bits (16 MB); a filter that is full only costs time.
@@ -186,6 +186,47 @@ def _emit_entries(k: int, bands: Bands, reps, levels):
     return run
 
 
+def _emit_elements(k: int):
+    """The finest partition: every element is a segment of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, sets in _sets(batches, k):
+            every = np.concatenate([*sets, np.zeros(0, np.uint64)])
+            yield pa.RecordBatch.from_arrays([pa.array(mix(every).view(np.int64))], names=["sig"])
+
+    return run
+
+
+def _ask_elements(k: int, levels):
+    """As _emit_entries, with elements for segments: (sig, id, n, ask)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [x.value for x in levels]
+        for batch, sets in _sets(batches, k):
+            sig, ids, size, asks = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+            for i, u in zip(batch.column("_id").to_numpy().astype(np.int64), sets, strict=True):
+                h = mix(u)
+                cost = np.zeros(len(h), np.int64)
+                for t in tables:
+                    cost += test_bits(t, h)
+                ask = np.ones(len(h), bool)
+                ask[np.lexsort((h, -cost))[: max(0, len(h) - (2 * len(u) // SEVENTH + 1))]] = False
+                shared = cost > 0
+                sig.append(h[shared])
+                asks.append(ask[shared])
+                ids.append(np.full(shared.sum(), i, np.int64))
+                size.append(np.full(shared.sum(), len(u), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(size)), pa.array(np.concatenate(asks))], names=["sig", "id", "n", "ask"])
+
+    return run
+
+
+def _levels(counts: DataFrame, most: int) -> list:
+    """Filters of ever more frequent signatures of a written table (sig, c)."""
+    n = counts.count()
+    return [bit_array(counts.where(F.col("c") >= least), "sig", bits_for(max(1, n // least * 2), most)) for least in (2, 4, 8, 16, 32, 128, 512)]
+
+
 def _linked(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
     if not len(a) or not len(b):
         return False
@@ -195,12 +236,20 @@ def _linked(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
 
 def _verify(k: int, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, cache = WordHashes(), {}
+
+        def set_of(text: bytes) -> np.ndarray:
+            if text not in cache:
+                if len(cache) >= 1000:
+                    cache.clear()
+                cache[text] = shingles(hashes.of(words_of(text, True)), k)
+            return cache[text]
+
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = [part.column(c).cast(pa.large_binary()).to_pylist() for c in ("ta", "tb")]
-                ok = [_linked(*(shingles(hashes.of(words_of(t, True)), k) for t in pair), threshold) for pair in zip(*texts, strict=True)]
+                ok = [_linked(set_of(a or b""), set_of(b or b""), threshold) for a, b in zip(*texts, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
 
     return run
@@ -233,9 +282,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
        frequent segments as far as the pigeonhole allows (cost-based allocation).
     4. Sets that share a signature are not paired with each other but with the smallest id that
        shares it (the pivot), and verified on their whole texts.  Links join components; only
-       pairs in different components go on: after `rounds` rounds the remaining pairs of
-       different components that share a signature are all verified.  So groups of many copies
-       cost one verification a member, and no link between components is lost.
+       sets that share a signature with another component go on.  After `rounds` rounds the sets
+       still open are partitioned once more, as finely as can be (each element a segment, the most
+       frequent left out); pairs of fitting size in different components that share an asked
+       element are all verified.  So groups of many copies cost one verification a member, and no
+       link between components is lost.
 
     Returns id, n_shingles, component_id for each input row.  Texts are lower-cased (A-Z) and split at ASCII
     white space; fewer than k words are one shingle; null, empty and blank texts have an empty set, link with nothing and
@@ -253,8 +304,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     counts = known.mapInArrow(_emit_signatures(k, bands, reps), "sig long").groupBy("sig").agg(F.count("*").alias("c")).where("c > 1")
     counts = materialize(counts, "signatures")
-    n_shared = counts.count()
-    levels = [bit_array(counts.where(F.col("c") >= least), "sig", bits_for(max(1, n_shared // least * 2), MOST_BITS - 1)) for least in (2, 4, 16, 128)]
+    levels = _levels(counts, MOST_BITS - 1)
     entries = materialize(known.mapInArrow(_emit_entries(k, bands, reps, levels), "sig long, id long, ask boolean"), "entries")
     groups = entries.groupBy("sig").agg(F.min("id").alias("pivot"), F.max("id").alias("last"), F.max("ask").alias("ask"))
     groups = materialize(groups.where("ask AND pivot < last").select(F.col("sig").alias("gsig"), "pivot"), "groups")
@@ -262,20 +312,34 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def verified(pairs: DataFrame) -> DataFrame:
         """pairs (a, b) -> (a, b, ok), by the whole texts of both."""
-        involved = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
-        texts = materialize(known.join(involved, F.col("_id") == F.col("v"), "left_semi"), "texts")
+        involved = materialize(pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct(), "involved")
+        texts = materialize(among(known, "_id", involved), "texts")
         both = pairs.join(texts.select(F.col("_id").alias("_a"), F.col("_text").alias("ta")), F.col("a") == F.col("_a"))
         both = materialize(both.select("a", "b", "ta"), "half-pairs")
         both = both.join(texts.select(F.col("_id").alias("_b"), F.col("_text").alias("tb")), F.col("b") == F.col("_b"))
         return materialize(both.select("a", "b", "ta", "tb").mapInArrow(_verify(k, threshold), "a long, b long, ok boolean"), "verified")
 
+    def finest(ids: DataFrame, label: DataFrame) -> DataFrame:
+        """Pairs of sets in different components that share an asked element."""
+        texts = materialize(among(known, "_id", materialize(ids, "open-ids")), "open-texts")
+        seen = materialize(texts.mapInArrow(_emit_elements(k), "sig long").groupBy("sig").agg(F.count("*").alias("c")).where("c > 1"), "elements")
+        every = texts.mapInArrow(_ask_elements(k, _levels(seen, MOST_BITS - 1)), "sig long, id long, n long, ask boolean")
+        every = every.join(label, F.col("id") == F.col("node"), "left").select("sig", "id", "n", "ask", F.coalesce("component", "id").alias("c"))
+        every = materialize(every, "asked")
+        other = every.select(F.col("sig").alias("osig"), F.col("id").alias("oid"), F.col("n").alias("on"), F.col("c").alias("oc"))
+        near = (F.col("c") != F.col("oc")) & (4 * F.col("n") >= 3 * F.col("on")) & (4 * F.col("on") >= 3 * F.col("n")) & ((F.col("n") > F.col("on")) | ((F.col("n") == F.col("on")) & (F.col("id") > F.col("oid"))))
+        pairs = every.where("ask").join(other, (F.col("sig") == F.col("osig")) & near)
+        return pairs.select(F.greatest("id", "oid").alias("a"), F.least("id", "oid").alias("b")).distinct()
+
     edges = _repeated(described, classes)
     hard = classes.where("hard")
     if hard.count():
         edges = edges.unionByName(_hard_links(known, described, hard, k, threshold))
     tested = None
     for turn in range(rounds + 1):
-        if turn == 0:  # each set and the smallest of its pivots
+        if turn == 0 and rounds == 0:
+            pairs = finest(members.select("id").distinct(), materialize(components(edges), "labels"))
+        elif turn == 0:  # each set and the smallest of its pivots
             pairs = members.where("id > pivot").groupBy(F.col("id").alias("a")).agg(F.min("pivot").alias("b"))
         else:
             label = components(edges)
@@ -288,14 +352,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 home = members.where("id = pivot").select(F.col("sig").alias("hsig"), F.col("c").alias("hc"))
                 pairs = members.where("id > pivot").join(home, F.col("sig") == F.col("hsig")).where("c <> hc").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
             else:
-                other = members.select(F.col("sig").alias("osig"), F.col("id").alias("b"), F.col("c").alias("oc"))
-                pairs = members.join(other, F.col("sig") == F.col("osig")).where("id > b AND c <> oc").select(F.col("id").alias("a"), "b").distinct()
+                pairs = finest(members.select("id").distinct(), label)
             members = members.select("sig", "id", "pivot")
             pairs = pairs.join(tested.select(F.col("a").alias("_ta"), F.col("b").alias("_tb")), (F.col("a") == F.col("_ta")) & (F.col("b") == F.col("_tb")), "left_anti")
         pairs = materialize(pairs.select("a", "b"), "pairs")
-        if not pairs.limit(1).count():
-            if turn:
-                break
         done = verified(pairs)
         tested = done if tested is None else tested.unionByName(done)
         edges = materialize(edges.unionByName(done.where("ok").select("a", "b")).distinct(), "links")
