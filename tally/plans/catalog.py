@@ -58,8 +58,7 @@ def monthly(spark: SparkSession, d: str) -> DataFrame:
     GROUP BY 1, 2""")
 def market_snapshot(spark: SparkSession, d: str) -> DataFrame:
     """Visible customers, current and previous year, growth by nation and segment."""
-    w = Window.partitionBy("c_nationkey", "c_mktsegment").orderBy("c_acctbal", "c_custkey")
-    seen = table(spark, d, "customer").where("c_acctbal > 0").withColumn("rn", F.row_number().over(w)).where("rn <= 40").drop("rn")
+    seen = R.first_per_key(table(spark, d, "customer").where("c_acctbal > 0"), ["c_custkey"], ["c_acctbal", "c_nationkey", "c_mktsegment"])
     cents = F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents")
     m = table(spark, d, "orders").groupBy("o_custkey", F.trunc("o_orderdate", "year").cast("date").alias("y")).agg(cents)
     ends = m.select("y").distinct().orderBy(F.desc("y")).limit(2).agg(F.max("y").alias("t"), F.min("y").alias("p"))

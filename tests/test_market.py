@@ -10,6 +10,7 @@ from tally.functions import payload as P
 from tally.functions import pricing as PR
 from tally.functions.safety import content_safety
 from tally.plans import market as M
+from tally.plans.catalog import market_snapshot
 
 
 @pytest.fixture(scope="module")
@@ -122,3 +123,14 @@ def test_content_safety(spark, text, host, label, conf, status, reason):
     df = spark.createDataFrame([(text, host, label, conf)], "t string, h string, l string, c int")
     s = df.select(content_safety("t", "h", "l", "c").alias("s")).first().s
     assert (s.status, s.reason) == (status, reason)
+
+
+def test_snapshot_counts_every_visible_customer(spark, tmp_path):
+    """A hundred visible customers of one nation and segment, one of them twice; no cap."""
+    d = str(tmp_path)
+    rows = [(i, 1, "A", float(i)) for i in range(1, 101)] + [(1, 1, "A", 2.0), (200, 1, "A", -1.0)]
+    spark.createDataFrame(rows, "c_custkey long, c_nationkey int, c_mktsegment string, c_acctbal double").write.parquet(f"{d}/customer.parquet")
+    spark.createDataFrame([(1, "N")], "n_nationkey int, n_name string").write.parquet(f"{d}/nation.parquet")
+    orders = spark.createDataFrame([(i, y, 2.0 if y == 1998 else 1.0) for i in range(1, 201) for y in (1997, 1998)], "o_custkey long, y int, o_totalprice double")
+    orders.select("o_custkey", F.make_date("y", F.lit(5), F.lit(1)).cast("timestamp_ntz").alias("o_orderdate"), "o_totalprice").write.parquet(f"{d}/orders.parquet")
+    assert [tuple(r) for r in market_snapshot(spark, d).collect()] == [("N", "A", 100, 20000, 10000, 1.0)]
