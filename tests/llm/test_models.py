@@ -115,6 +115,26 @@ def test_schedule_gives_every_block_once():
     assert {(s, b) for _, s, b in seen} == {(s, b) for s, n in blocks.items() for b in range(n)}
 
 
+def test_schedule_stays_within_one_block_of_the_target_weights():
+    """A hot source and forty others over many periods, one of them far below 1/1000."""
+    size = {"hot": 20_000, **{f"s{i:02}": 200 + 7 * i for i in range(39)}, "tiny": 3}
+    weights = {s: n**0.5 for s, n in size.items()} | {"tiny": 0.05}
+    slot0, left, phase = 0, dict(size), {}
+    for s, _, given, start, length, slots in schedule(size, weights, 1000):
+        phase.setdefault(start, []).append((s, given, length, slots))
+    for start, rows in sorted(phase.items()):
+        assert start == slot0
+        total, length = sum(weights[s] for s, n in left.items() if n), rows[0][2]
+        for s, given, _, slots in rows:
+            own = [i // len(slots) * length + slots[i % len(slots)] for i in range(given)]
+            for i, t in enumerate(own):
+                w = weights[s] / total
+                assert -1 < i - t * w and i + 1 - (t + 1) * w < 1
+            left[s] -= given
+        slot0 += sum(given for _, given, _, _ in rows)
+    assert slot0 == sum(size.values()) and not any(left.values())
+
+
 def test_mixing(spark):
     rows = corpus()
     df = frame(spark, rows, False).withColumn("size", F.length("text") + 1)
