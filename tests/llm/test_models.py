@@ -186,6 +186,15 @@ def test_ids_are_the_tokenizers(tokenizer):
         assert np.frombuffer(own.of(t), "<u2").tolist() == e.ids, repr(t)
 
 
+def test_ids_of_added_tokens_and_long_white_space(tokenizer):
+    P, T = pytest.importorskip("public_tokenizers"), pytest.importorskip("tokenizers")
+    reference, own = T.Tokenizer.from_file(P.path("byte_bpe_50k.json")), Tokens(*tokenizer)
+    texts = ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|><|endoftext|> x", "<|endoftext |>", "<|ENDOFTEXT|>"]
+    texts += ["a" + " " * 1_000_000 + "x", "a" + "\n" * 1_200_000, " \u00a0" * 600_000 + "x", "a " * 100_000]
+    for t in texts:
+        assert np.frombuffer(own.of(t), "<u2").tolist() == reference.encode(t, add_special_tokens=False).ids, repr(t[:20])
+
+
 def test_packing_round_trip(spark, tokenizer):
     rows = [r for r in corpus() if r[0] is not None]
     rows = [r for r in rows if [x[0] for x in rows].count(r[0]) == 1]
