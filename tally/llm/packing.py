@@ -25,6 +25,8 @@ from .tokens import texts_in
 
 #: On a longer run of white space the fast library's pattern runs out of stack (at 10**6); such a run is searched for in long texts only.
 LONG_SPACE = 100_000
+#: Ids in a partition of related documents.
+PARTITION_TOKENS = 4_000_000
 _LONG_SPACE = re.compile(rf"(?<!\s)\s{{{LONG_SPACE}}}")
 
 
@@ -77,35 +79,74 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([n[met], [docs, total]]))], names=["token", "n"])
 
 
+def _bm25(doc_tokens: float, count: np.ndarray, idf: np.ndarray, mean: float, k1: float = 1.2, b: float = 0.75) -> np.ndarray:
+    return idf * count * (k1 + 1) / (count + k1 * (1 - b + b * doc_tokens / mean))
+
+
+def _keys(idf: np.ndarray, mean: float):
+    """Adds the key by which related documents meet: the four heaviest terms, the heaviest first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = []
+            for raw in batch.column("_ids").to_pylist():
+                a = np.frombuffer(raw, "<u2")
+                t, c = np.unique(a, return_counts=True)
+                w = _bm25(len(a), c, idf[t], mean)
+                top = t[np.lexsort((t, -w))[:4]].tolist() + [0] * 4
+                keys.append((top[0] << 48 | top[1] << 32 | top[2] << 16 | top[3]) - (1 << 63))
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_ids"), pa.array(keys, pa.int64())], names=["_id", "_ids", "_key"])
+
+    return run
+
+
 class Shard:
-    """A BM25 inverted index over some documents; hands out each document once."""
+    """A BM25 inverted index over some documents; hands out each document once.
 
-    def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float, terms: int, k1: float = 1.2, b: float = 0.75):
-        self.used = np.zeros(len(ids), bool)
+    Terms that many of the documents hold are kept as dense rows, the others as postings.
+    """
+
+    def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float):
+        n = len(ids)
+        self.used = np.zeros(n, bool)
         self.next = 0
-        doc, term, count = [], [], []
+        doc, term, weight = [], [], []
+        self.terms = []
         for i, a in enumerate(ids):
             t, c = np.unique(a, return_counts=True)
+            self.terms.append(t)
             doc.append(np.full(len(t), i, np.int32))
             term.append(t)
-            count.append(c)
-        doc, term, count = np.concatenate(doc), np.concatenate(term), np.concatenate(count).astype(np.float32)
-        length = np.array([len(a) for a in ids], np.float32)
-        weight = idf[term] * count * (k1 + 1) / (count + k1 * (1 - b + b * length[doc] / mean))
-        # A document asks with its heaviest terms.
-        order = np.lexsort((term, -weight, doc))
-        start = np.searchsorted(doc[order], np.arange(len(ids) + 1))
-        self.asks = [term[order[s : min(e, s + terms)]] for s, e in zip(start[:-1], start[1:], strict=True)]
+            weight.append(_bm25(len(a), c.astype(np.float32), idf[t], mean).astype(np.float32))
+        doc, term, weight = np.concatenate(doc), np.concatenate(term), np.concatenate(weight)
+        df = np.bincount(term, minlength=1 << 16)
+        common = np.flatnonzero(df * 16 > n)
+        self.row = np.full(1 << 16, -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        at = self.row[term]
+        self.dense = np.zeros((len(common), n), np.float32)
+        self.dense[at[at >= 0], doc[at >= 0]] = weight[at >= 0]
+        doc, term, weight = doc[at < 0], term[at < 0], weight[at < 0]
         order = np.argsort(term, kind="stable")
-        self.docs, self.weights = doc[order], weight[order].astype(np.float32)
+        self.docs, self.weights = doc[order], weight[order]
         self.start = np.searchsorted(term[order], np.arange((1 << 16) + 1))
 
+    def scores(self, seed: int) -> np.ndarray:
+        """The score of every document for the seed, which asks with all its terms."""
+        t = self.terms[seed].astype(np.int64)
+        rows = self.row[t]
+        asked = np.zeros(len(self.dense), np.float32)
+        asked[rows[rows >= 0]] = 1
+        score = asked @ self.dense
+        t = t[rows < 0]
+        start, size = self.start[t], self.start[t + 1] - self.start[t]
+        at = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+        score += np.bincount(self.docs[at], self.weights[at], len(score)).astype(np.float32)
+        return score
+
     def neighbours(self, seed: int) -> Iterator[int]:
         """Unused documents, the best match of the seed first; then the rest in their order."""
-        score = np.zeros(len(self.used), np.float32)
-        for t in self.asks[seed]:
-            s = slice(self.start[t], self.start[t + 1])
-            score[self.docs[s]] += self.weights[s]
+        score = self.scores(seed)
         score[self.used] = 0
         while score[i := int(score.argmax())] > 0:
             score[i] = 0
@@ -150,14 +191,14 @@ def _fill(ids: list[np.ndarray], index: Shard, window: int) -> Iterator[tuple[in
             sequence, fill = sequence + 1, 0
 
 
-def _pack(idf: np.ndarray, mean: float, window: int, shard_docs: int, shard_tokens: int, terms: int):
+def _pack(idf: np.ndarray, mean: float, window: int, shard_docs: int, shard_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = (TaskContext.get().partitionId()) << 36
         sequences = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal sequences
-            index = Shard(ids, idf, mean, terms)
+            index = Shard(ids, idf, mean)
             rows = [(doc, start, n, zlib.crc32(ids[doc][start : start + n].astype("<u4").tobytes()), len(ids[doc]), base + sequences + seq, at) for doc, start, n, seq, at in _fill(ids, index, window)]
             columns = list(zip(*rows, strict=True))
             sequences += max(columns[5]) + 1 - base - sequences
@@ -181,16 +222,18 @@ def _pack(idf: np.ndarray, mean: float, window: int, shard_docs: int, shard_toke
     return run
 
 
-def pack(docs: DataFrame, ranks_path: str, pattern: str, window: int = 1024, shard_docs: int = 4096, shard_tokens: int = 16_000_000, terms: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, ranks_path: str, pattern: str, window: int = 1024, shard_docs: int = 4096, shard_tokens: int = 16_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Packs all documents into sequences of `window` ids by lexical retrieval.
 
     Ids come from a byte-level BPE (ranks_path, pattern), and a 0 ends each document.  The ids are
     also the terms of retrieval: document frequencies are counted over all documents (a table
-    bounded by the vocabulary).  The inverted index is sharded: each task indexes up to
-    shard_docs documents or shard_tokens ids at a time, so memory is bounded and no text moves.  In
-    a shard, the document that opens a window is its seed; its unused BM25 neighbours (the
-    seed asks with its `terms` heaviest terms) fill the window; the last is cut where the window ends
-    and opens the next.  What is left at a shard's end is cut at powers of two, so
+    bounded by the vocabulary).  Related documents are brought together by a shuffle: the ids of all documents
+    are range-partitioned and sorted by their heaviest BM25 terms (the heaviest first), wherever they were
+    read.  The inverted index is sharded along that order: each task indexes up to shard_docs documents
+    or shard_tokens ids at a time, so memory is bounded.  In a shard, the document that opens a window
+    is its seed; its unused BM25 neighbours (the seed asks with all its terms) fill the window; the last
+    is cut where the window ends and opens the next.  Neighbours whose heaviest terms differ may lie in
+    other shards and are then not found.  What is left at a shard's end is cut at powers of two, so
     no sequence needs padding.
 
     Returns one row per piece: id, start, length, ids_crc32 (unsigned, of 32-bit ids), doc_tokens,
@@ -205,5 +248,10 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, window: int = 1024, sha
     df = np.zeros(1 << 16)
     df[list(counts)] = list(counts.values())
     idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
-    packed = tokens.mapInArrow(_pack(idf, total / max(1, n), window, shard_docs, shard_tokens, terms), f"_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    mean = total / max(1, n)
+    keyed = materialize(tokens.mapInArrow(_keys(idf, mean), f"_id {kind}, _ids binary, _key long"), "keyed", compression="zstd")
+    # Copies lie side by side; the id spreads even a large group of them over tasks.
+    order = ["_key", F.xxhash64("_ids"), F.xxhash64("_id")]
+    together = keyed.repartitionByRange(max(1, -(-total // PARTITION_TOKENS)), *order).sortWithinPartitions(*order).select("_id", "_ids")
+    packed = together.mapInArrow(_pack(idf, mean, window, shard_docs, shard_tokens), f"_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     return packed.withColumnRenamed("_id", id_col)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tally.llm import kneser_ney
 from tally.llm.mixing import integer_shares, mix_sources, pfair_period, schedule
 from tally.llm.neardup import near_duplicates
-from tally.llm.packing import Tokens, pack
+from tally.llm.packing import Shard, Tokens, pack
 from tally.llm.quality import classify_quality
 from tally.llm.sharding import shard_by_bytes
 
@@ -229,6 +229,31 @@ def test_packing_takes_lexical_neighbours(spark, tokenizer):
     assert pure > 0.85
 
 
+def test_packing_finds_neighbours_in_other_partitions(spark, tokenizer):
+    """Eight vocabularies dealt over four partitions and several shards: windows hold one each."""
+    rng, kinds = random.Random(3), ["cat", "star", "river", "music", "bread", "engine", "garden", "winter"]
+    rows = [(i, " ".join(rng.choices([f"{kinds[i % 8]}{j}" for j in range(9)], k=12)), None, None, None) for i in range(480)]
+    out = pack(spark.createDataFrame(rows, SCHEMA).repartition(4, "doc_id"), *tokenizer, window=256, shard_docs=60).collect()
+    held = collections.defaultdict(collections.Counter)
+    for r in out:
+        held[r.sequence_id][r.doc_id % 8] += r.length
+    assert sum(max(c.values()) for c in held.values()) / sum(sum(c.values()) for c in held.values()) > 0.85
+
+
+def test_packing_asks_with_all_terms():
+    """The match shares only the seed's lightest terms, beyond the twelve heaviest."""
+    idf = np.linspace(1, 2, 1 << 16).astype(np.float32)
+    seed = np.arange(100, 130, dtype="<u2")
+    index = Shard([seed, np.array([50_000, 50_001], "<u2"), np.array([100, 101, 102], "<u2")], idf, 20.0)
+    assert index.first() == 0
+    assert next(index.neighbours(0)) == 2
+    ids = [np.random.default_rng(i).integers(0, 300, 40).astype("<u2") for i in range(50)]
+    index = Shard(ids, idf, 40.0)
+    for i, a in enumerate(ids[:5]):
+        plain = [sum(idf[t] * c * 2.2 / (c + 1.2) for t in np.unique(a) if (c := int((b == t).sum()))) for b in ids]
+        assert np.allclose(index.scores(i), plain, rtol=1e-4)
+
+
 def vectors(seed=0, n=240, dim=16):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, dim))
