@@ -129,9 +129,10 @@ def _emit_signatures(k: int, bands: Bands, reps):
         held, size = [], 0
         for _, u in _representatives(batches, k, reps.value):
             every = []
-            for j, (band, _) in enumerate(bands.targets(len(u))):
-                base, near, _ = signatures(u, band, bands, j == 0)
-                every += [base, near]
+            for j, (band, most) in enumerate(bands.targets(len(u))):
+                base, near, _ = signatures(u, band, bands, True)
+                # Whatever _emit_entries may offer or ask with is counted.
+                every += [base, near] if not j or len(base) < most + 1 else [base]
             held.append(np.unique(np.concatenate(every)))
             size += len(held[-1])
             if size > 200_000:

@@ -122,6 +122,19 @@ def test_jaccard_edits(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == jaccard_reference(rows)
 
 
+def small_pairs(n):
+    """Texts of 8 words (4 shingles) and their first 7 (3 shingles): Jaccard 3/4 exactly."""
+    texts = [[f"p{i}w{j}" for j in range(8)] for i in range(n)]
+    return [(2 * i + k, " ".join(t[: 8 - k]), None, None, None) for i, t in enumerate(texts) for k in (0, 1)]
+
+
+def test_jaccard_of_sizes_three_and_four(spark):
+    """Some of the larger sets fall into one segment and ask with their neighbourhoods."""
+    got = jaccard_join(spark.createDataFrame(small_pairs(2000), SCHEMA)).collect()
+    assert [r.doc_id for r in got if r.component_id != r.doc_id // 2 * 2] == []
+    assert Counter(r.n_shingles for r in got) == {3: 2000, 4: 2000}
+
+
 def test_hard_sets_are_compared_with_all(spark, monkeypatch):
     """With far too few segments every set is hard; the blocks find the same links."""
     monkeypatch.setattr(Bands, "segments", lambda self, band: 1)
