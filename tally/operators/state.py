@@ -75,8 +75,8 @@ def write_plan(assignments: DataFrame, tree: DataFrame, item: str, leaf: str) ->
     """Leaf and parent ids of each item, distinct and in order; items with an unknown leaf come apart."""
     t = tree.select(F.col("slug").alias("_slug"), F.col("id").alias("_id"), F.col("parent_id").alias("_parent"))
     j = assignments.join(F.broadcast(t), F.col(leaf) == F.col("_slug"), "left")
-    ids = F.filter(F.array("_id", "_parent"), lambda x: x.isNotNull())
-    return j.groupBy(item).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(ids)))).alias("ids"), F.max(F.col("_id").isNull()).alias("invalid"))
+    one = j.select(item, F.explode(F.array("_id", "_parent")).alias("_one"), F.col("_id").isNull().alias("_unknown"))
+    return one.groupBy(item).agg(F.array_sort(F.collect_set("_one")).alias("ids"), F.max("_unknown").alias("invalid"))
 
 
 def current_rows(old: DataFrame, new: DataFrame, keys: list[str], values: list[str]) -> DataFrame:

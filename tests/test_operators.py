@@ -140,3 +140,14 @@ def test_due(spark):
     df = spark.createDataFrame(rows, "status string, retry timestamp, lease timestamp, attempts int").withColumns({"most": F.lit(3), "dead": F.lit(None).cast("timestamp")})
     ready = R.due("status", "retry", "lease", F.lit("2026-01-02").cast("timestamp"), "attempts", "most", "dead")
     assert [r.x for r in df.select(F.coalesce(ready, F.lit(False)).alias("x")).collect()] == [True, False, True, False, False]
+
+
+def test_write_plan_of_a_hot_item(spark):
+    """Ids are made distinct before the shuffle: no list of all rows of an item is built."""
+    from tally.operators.state import write_plan
+
+    tree = spark.createDataFrame([("a", 2, 1), ("b", 3, 1), ("top", 1, None)], "slug string, id int, parent_id int")
+    rows = spark.range(3000).selectExpr("if(id < 2990, 'hot', concat('i', id % 2)) AS item", "CASE WHEN id < 2990 THEN elt(1 + id % 2, 'a', 'b') WHEN id % 2 = 0 THEN 'top' ELSE 'none' END AS leaf")
+    plan = write_plan(rows, tree, "item", "leaf")
+    assert {r.item: (r.ids, r.invalid) for r in plan.collect()} == {"hot": ([1, 2, 3], False), "i0": ([1], False), "i1": ([], True)}
+    assert "collect_list" not in plan._jdf.queryExecution().optimizedPlan().toString()
