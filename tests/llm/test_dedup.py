@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tally.llm.exact_dedup import exact_dedup
-from tally.llm.jaccard import Bands, jaccard_join, signatures
+from tally.llm.jaccard import Bands, Segments, jaccard_join, sketches
 from tally.llm.line_dedup import line_dedup
 from tally.llm.substring import substring_dedup
 
@@ -156,13 +156,36 @@ def test_pigeonhole_holds():
         v = np.delete(u, rng.choice(len(u), drop, replace=False))
         if 4 * len(v) < 3 * len(u):
             continue
-        own = signatures(v, bands.of(len(v)), bands, True)
-        target = dict(bands.targets(len(u)))
-        assert bands.of(len(v)) in target
-        base, near, flexible = signatures(u, bands.of(len(v)), bands, True)
-        if len(base) + flexible > target[bands.of(len(v))]:
-            asked = set(base.tolist()) | set(near.tolist())
-            assert asked & (set(own[0].tolist()) | set(own[1].tolist()))
+        target = {int(band[0]): int(most[0]) for _, band, most in bands.targets(np.array([len(u)]))}
+        band = next(int(b[0]) for _, b, _ in bands.targets(np.array([len(v)])))
+        assert band in target
+        mine, own = (Segments(x, np.array([len(x)]), np.array([band]), bands) for x in (u, v))
+        if mine.reach()[0] > target[band]:
+            asked, offered = ({*base.tolist(), *near.tolist()} for base, near, _ in (mine.signatures(), own.signatures()))
+            assert asked & offered
+        a, b = sketches(np.concatenate([u, v]), np.array([len(u), len(v)]))
+        assert sum(int(x).bit_count() for x in (a ^ b).view(np.uint64)) <= len(u) - len(v)
+
+
+def test_word_hashes(monkeypatch):
+    """Words in pieces of any length, beside empty and null texts, are those that split() finds."""
+    import random
+
+    import pyarrow as pa
+
+    from tally.llm import tokens
+
+    rng, seen = random.Random(1), {}
+    parts = ["a", "B", "é", " ", "\n", "\t", "\x0b", "  ", "word", "W" * 50, "x" * 200, "\x1c", "\x85"]
+    monkeypatch.setattr(tokens, "_PIECE", 64)
+    for _ in range(200):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) if rng.random() > 0.1 else None for _ in range(rng.randrange(1, 8))]
+        hashes, n = tokens.word_hashes(pa.array(texts, pa.string()).slice(1), True)
+        want = [words(t, True) for t in texts[1:]]
+        assert n.tolist() == list(map(len, want))
+        for w, h in zip([w for t in want for w in t], hashes.tolist(), strict=True):
+            assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen)
 
 
 @pytest.mark.parametrize("f", [exact_dedup, line_dedup, substring_dedup, jaccard_join])
