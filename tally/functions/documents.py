@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,37 +53,76 @@ def canonical_hash(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if (c := _canonical(v)) is None else hashlib.sha256(c.encode()).hexdigest())
 
 
-def _patched(old, new):
-    if not isinstance(new, dict):
-        return new
-    out = dict(old) if isinstance(old, dict) else {}
-    for k, v in new.items():
-        if v is None:
-            out.pop(k, None)
-        else:
-            out[k] = _patched(out.get(k), v)
-    return out
-
+def _leaves(value, path: tuple = ()) -> Iterator[tuple[tuple, str]]:
+    """What a merge patch says of each path: `set` (null: remove) or, of an empty object, `ensure`."""
+    if isinstance(value, dict):
+        if not value:
+            yield path, "ensure"
+        for k, v in value.items():
+            yield from _leaves(v, (*path, k))
+    else:
+        yield path, "set" + json.dumps(value, separators=(",", ":"))
 
-@F.pandas_udf(T.StringType())
-def merge_patches(lists: pd.Series) -> pd.Series:
-    """Folds a list of JSON texts, oldest first, as merge patches (RFC 7396)."""
 
-    def fold(patches) -> str | None:
-        out = None
-        for p in patches if patches is not None else []:
+def _explode_patches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at, rows = [], []
+        for i, text in enumerate(batch.column("_patch").to_pylist()):
             try:
-                out = _patched(out, json.loads(p))
+                found = list(_leaves(json.loads(text)))
             except (TypeError, ValueError):
                 continue
-        return None if out is None else json.dumps(out, sort_keys=True, separators=(",", ":"))
+            at += [i] * len(found)
+            rows += [(json.dumps(path), "ensure" if said == "ensure" else "set", None if said == "ensure" else said[3:]) for path, said in found]
+        kept = batch.select([c for c in batch.schema.names if c != "_patch"]).take(pa.array(at, pa.int32()))
+        cells = [pa.array([r[j] for r in rows], pa.string()) for j in range(3)]
+        yield pa.RecordBatch.from_arrays([*kept.columns, *cells], names=[*kept.schema.names, "_path", "_kind", "_value"])
+
+
+def _rebuilt(steps) -> str | None:
+    """A document from the last statement about each path, in their order."""
+    top: list = [None]
+    for s in steps:
+        place, key = top, 0
+        for k in json.loads(s["path"]):
+            if not isinstance(place[key], dict):
+                place[key] = {}
+            place, key = place[key], k
+            place.setdefault(key, None)
+        if s["kind"] == "set":
+            place[key] = json.loads(s["value"])
+            if place is not top and place[key] is None:
+                del place[key]
+        elif not isinstance(place[key], dict):
+            place[key] = {}
+    return None if top[0] is None else json.dumps(top[0], sort_keys=True, separators=(",", ":"))
 
-    return lists.map(fold)
 
-
-def merge_in_order(order, patch) -> Column:
-    """Aggregate: the fold of a group's patches in the order of a unique key."""
-    return merge_patches(F.transform(F.array_sort(F.collect_list(F.struct(_c(order).alias("o"), _c(patch).alias("p")))), lambda s: s["p"]))
+@F.pandas_udf(T.StringType())
+def rebuild_document(steps: pd.Series) -> pd.Series:
+    return steps.map(_rebuilt)
+
+
+def merge_in_order(df: DataFrame, keys: list[str], order: str, patch: str, out: str = "merged") -> DataFrame:
+    """The fold of each key's merge patches (RFC 7396) in the order of a unique column.
+
+    Patches become rows (path, statement); of each path only the last statement counts, so hot
+    keys combine before the shuffle, and a key's document is rebuilt from one row a path.  Texts
+    that aren't JSON say nothing; a key without any patch has a null document.
+    """
+    named = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(order).alias("_order"), F.col(patch).alias("_patch"))
+    fields = [f for f in named.schema.fields if f.name != "_patch"]
+    schema = T.StructType([*fields, *(T.StructField(c, T.StringType()) for c in ("_path", "_kind", "_value"))])
+    names = [f"_k{i}" for i in range(len(keys))]
+    said = named.where("_patch IS NOT NULL").mapInArrow(_explode_patches, schema)
+    last = said.groupBy(*names, "_path", "_kind").agg(F.max_by(F.struct("_order", "_value"), "_order").alias("_s"))
+    step = F.struct(F.col("_s._order").alias("order"), F.col("_path").alias("path"), F.col("_kind").alias("kind"), F.col("_s._value").alias("value"))
+    folded = last.groupBy(*names).agg(rebuild_document(F.array_sort(F.collect_list(step))).alias("_doc"))
+    every = named.select(*[F.col(n).alias(f"{n}_") for n in names]).distinct()
+    same = F.lit(True)
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"{n}_"))
+    return every.join(folded, same, "left").select(*[F.col(f"{n}_").alias(k) for n, k in zip(names, keys, strict=True)], F.col("_doc").alias(out))
 
 
 @F.pandas_udf(T.StringType())
@@ -142,16 +182,22 @@ def _any(text: Column, phrases: list[str]) -> Column:
     return out
 
 
-def page_state(page, status=None) -> Column:
-    """Ordered rules: status, title, challenge markup, denials, human checks, emptiness."""
-    code = F.lit(None).cast("int") if status is None else _c(status)
-    title, text = page_title(page, 200), F.lower(visible_text(page))
-    out = F.when(code.isin(401, 403), "access_denied").when(code == 429, "anti_bot")
-    out = out.when((code >= 500) & (F.trim(_c(page)) == ""), "error_page")
-    for state, pattern in TITLES:
-        out = out.when(title.rlike(pattern), state)
-    out = out.when(_any(F.lower(_c(page)), CHALLENGES), "anti_bot").when(_any(text, DENIALS), "access_denied").when(_any(text, HUMAN_CHECKS), "captcha")
-    return out.when(F.length(text) < 20, "empty_page").otherwise("valid_product_page")
+def page_state(pages: DataFrame, html_col: str = "html", status_col: str | None = None, out: str = "state") -> DataFrame:
+    """Adds `out` by ordered rules (H-16): status, title, challenge markup, denials, human checks, emptiness.
+
+    Title, lowered page and visible text are computed once, in a projection of their own below a
+    generator that keeps the optimizer from copying them into every rule.
+    """
+    said = F.struct(page_title(html_col, 200).alias("title"), F.lower(visible_text(html_col)).alias("text"), F.lower(F.col(html_col)).alias("raw"))
+    rows = pages.withColumn("_page", F.explode(F.array(said)))
+    code = F.lit(None).cast("int") if status_col is None else F.col(status_col)
+    title, text, raw = (F.col(f"_page.{c}") for c in ("title", "text", "raw"))
+    state = F.when(code.isin(401, 403), "access_denied").when(code == 429, "anti_bot")
+    state = state.when((code >= 500) & (F.trim(raw) == ""), "error_page")
+    for name, pattern in TITLES:
+        state = state.when(title.rlike(pattern), name)
+    state = state.when(_any(raw, CHALLENGES), "anti_bot").when(_any(text, DENIALS), "access_denied").when(_any(text, HUMAN_CHECKS), "captcha")
+    return rows.withColumn(out, state.when(F.length(text) < 20, "empty_page").otherwise("valid_product_page")).drop("_page")
 
 
 class _Nodes(HTMLParser):

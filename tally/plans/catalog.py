@@ -46,8 +46,8 @@ def monthly(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    WITH v AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_acctbal, c_custkey) AS rn FROM customer WHERE c_acctbal > 0),
-         seen AS (SELECT c_custkey, c_nationkey, c_mktsegment FROM v WHERE rn <= 40),
+    WITH seen AS (SELECT c_custkey, c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 0
+                  QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY c_acctbal, c_nationkey, c_mktsegment) = 1),
          m AS (SELECT o_custkey, CAST(date_trunc('year', o_orderdate) AS DATE) AS y, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents FROM orders GROUP BY 1, 2),
          t AS (SELECT max(y) AS y FROM m), p AS (SELECT max(y) AS y FROM m WHERE y < (SELECT y FROM t))
     SELECT n.n_name, s.c_mktsegment, count(*) AS customers, sum(a.cents) AS now_cents, sum(b.cents) AS before_cents,
@@ -265,7 +265,7 @@ def claim_history(spark: SparkSession, d: str) -> DataFrame:
     SELECT user_id, '{"k":' || json_extract_string(l[-1], '$.k') || '}' AS merged FROM m""")
 def json_merge_replay(spark: SparkSession, d: str) -> DataFrame:
     """Merge patches folded in replay order (A25); with one key the last patch wins."""
-    return table(spark, d, "events").groupBy("user_id").agg(H.merge_in_order("event_id", "props").alias("merged"))
+    return H.merge_in_order(table(spark, d, "events"), ["user_id"], "event_id", "props", "merged")
 
 
 @query("""
@@ -407,7 +407,7 @@ def page_title_text(spark: SparkSession, d: str) -> DataFrame:
     SELECT page_id, CASE WHEN regexp_matches(title, '(?i)^(access\s+denied|forbidden|unauthorized)\b') THEN 'access_denied' WHEN regexp_matches(title, '(?i)^(404|not\s+found|page\s+not\s+found|500)\b') THEN 'error_page'
         WHEN contains(raw, 'cf-chl-') THEN 'anti_bot' WHEN contains(substr(v, 1, 12000), 'verify you are human') THEN 'captcha' WHEN length(v) < 20 THEN 'empty_page' ELSE 'valid_product_page' END AS state FROM t""")
 def page_state(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "pages").select("page_id", H.page_state("html").alias("state"))
+    return H.page_state(table(spark, d, "pages").select("page_id", "html")).select("page_id", "state")
 
 
 @query("""SELECT sha256(text) AS hash, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1""")

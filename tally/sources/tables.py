@@ -49,14 +49,18 @@ class VersionedStore:
     """Immutable versions of a table below one folder, and a manifest that names the active one.
 
     A build writes its version first; activation compares the active version it started from and
-    swaps the pointer by one rename, so readers see a whole version or the one before (M13, M15).
+    publishes the next turn by one rename that must not meet an existing file, so readers see a
+    whole version or the one before, and a writer that dies on the way leaves nothing that blocks
+    the next (M13, M15).  The rename is atomic on HDFS and other file systems with a name node; on a local disk it
+    is a check and a rename; object stores without an atomic rename aren't supported.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._fs_classes = spark._jvm.org.apache.hadoop.fs
+        self._path = self._fs_classes.Path
+        self._conf = spark._jsc.hadoopConfiguration()
+        self._fs = self._path(self.root).getFileSystem(self._conf)
         self._fs.mkdirs(self._path(self.root))
 
     def write(self, df: DataFrame) -> str:
@@ -64,26 +68,42 @@ class VersionedStore:
         df.write.parquet(f"{self.root}/v-{version}")
         return version
 
+    def _newest(self) -> tuple[int, str | None]:
+        turns = [s.getPath() for s in self._fs.listStatus(self._path(self.root)) if s.getPath().getName().startswith("turn-")]
+        if not turns:
+            return 0, None
+        last = max(turns, key=lambda p: p.getName())
+        stream = self._fs.open(last)
+        try:
+            return int(last.getName().split("-")[1]), bytes(stream.readNBytes(32)).decode()
+        finally:
+            stream.close()
+
     def active(self) -> str | None:
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.root))]
-        swaps = sorted(n for n in names if n.startswith("active-"))
-        return swaps[-1].split("-", 2)[2] if swaps else None
+        return self._newest()[1]
 
     def activate(self, version: str, expected: str | None) -> bool:
         """Whether the swap took place: not if another version became active since."""
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.root))]
-        turns = sorted(n for n in names if n.startswith("active-"))
-        if (turns[-1].split("-", 2)[2] if turns else None) != expected:
+        turn, now = self._newest()
+        if now != expected:
             return False
-        turn = int(turns[-1].split("-")[1]) + 1 if turns else 1
-        claim = self._path(f"{self.root}/turn-{turn:09d}")
+        aside = self._path(f"{self.root}/.next-{uuid.uuid4().hex}")
+        stream = self._fs.create(aside, False)
+        stream.write(bytearray(version.encode()))
+        stream.close()
+        sc = self.spark.sparkContext
+        rename = getattr(self._fs_classes, "Options$Rename")
+        options = sc._gateway.new_array(rename, 1)
+        options[0] = rename.NONE
+        context = self._fs_classes.FileContext.getFileContext(aside.getFileSystem(self._conf).getUri(), self._conf)
         try:
-            self._fs.create(claim, False).close()  # only one writer gets a turn
+            context.rename(self._fs.makeQualified(aside), self._fs.makeQualified(self._path(f"{self.root}/turn-{turn + 1:09d}")), options)
         except Exception as e:
+            self._fs.delete(aside, False)
             if "exist" in str(e).lower():
                 return False
             raise
-        return bool(self._fs.mkdirs(self._path(f"{self.root}/active-{turn:09d}-{version}")))
+        return True
 
     def read(self) -> DataFrame | None:
         version = self.active()

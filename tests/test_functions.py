@@ -1,5 +1,7 @@
 """Fixed expectations for the column functions."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,7 +94,7 @@ def test_unicode_and_json(spark):
     assert value(spark, H.canonical_json("s"), s="{") is None
     assert value(spark, H.json_object_in("s"), s='Sure: {bad} then {"a": {"b": 1}} end') == '{"a":{"b":1}}'
     rows = spark.createDataFrame([(1, 1, '{"a":{"x":1,"y":2},"k":[1]}'), (1, 2, "junk"), (1, 3, '{"a":{"x":null},"b":3}')], "g int, o int, p string")
-    assert rows.groupBy("g").agg(H.merge_in_order("o", "p").alias("m")).first().m == '{"a":{"y":2},"b":3,"k":[1]}'
+    assert H.merge_in_order(rows, ["g"], "o", "p", "m").first().m == '{"a":{"y":2},"b":3,"k":[1]}'
 
 
 PAGE = """<html><head><title> Acme &mdash; Plans </title><meta name="description" content="Fine tools"></head><body>
@@ -103,7 +105,7 @@ PAGE = """<html><head><title> Acme &mdash; Plans </title><meta name="description
 
 def test_pages(spark):
     df = spark.createDataFrame([(1, PAGE), (2, "<title>Access denied</title>"), (3, "<p>hi</p>"), (4, None)], "page_id bigint, html string")
-    assert {r.page_id: r.s for r in df.select("page_id", H.page_state("html").alias("s")).collect()} == {1: "valid_product_page", 2: "access_denied", 3: "empty_page", 4: "empty_page"}
+    assert {r.page_id: r.s for r in H.page_state(df, out="s").collect()} == {1: "valid_product_page", 2: "access_denied", 3: "empty_page", 4: "empty_page"}
     assert df.select(H.page_title("html"), H.meta_content("html", "description")).first()[1] == "Fine tools"
     nodes = H.dom_nodes(df).where("page_id = 1").orderBy("node").collect()
     by = {n.node: n for n in nodes}
@@ -115,3 +117,39 @@ def test_pages(spark):
     assert "Secret" not in by[0].text and "$5" not in by[0].text
     best = H.pricing_regions(H.dom_nodes(df)).collect()
     assert len(best) == 1 and best[0].page_id == 1 and by[best[0].root].tag == "section" and "Team" in best[0].text
+
+
+def test_merge_in_order_equals_a_fold(spark):
+    """Scalars over objects, objects over scalars, removals, empty objects and texts that aren't JSON."""
+    import random
+
+    def fold(old, new):
+        if not isinstance(new, dict):
+            return new
+        out = dict(old) if isinstance(old, dict) else {}
+        for k, v in new.items():
+            if v is None:
+                out.pop(k, None)
+            else:
+                out[k] = fold(out.get(k), v)
+        return out
+
+    rng = random.Random(3)
+
+    def patch(depth=0):
+        if depth and rng.random() < 0.5:
+            return rng.choice([None, 1, "x", [1, {"a": None}], {}])
+        return {k: patch(depth + 1) for k in rng.sample("abc", rng.randrange(0, 3))} if depth < 3 else None
+
+    rows, want = [], {}
+    for key in range(60):
+        state = None
+        for _ in range(rng.randrange(0, 7)):
+            p = patch()
+            rows.append((key, len(rows), json.dumps(p)))
+            state = fold(state, p)
+        rows.append((key, len(rows), rng.choice([None, "no json"])))
+        want[key] = None if state is None else json.dumps(state, sort_keys=True, separators=(",", ":"))
+    df = spark.createDataFrame(rows, "k int, o int, p string").repartition(3)
+    got = {r.k: r.m for r in H.merge_in_order(df, ["k"], "o", "p", "m").collect()}
+    assert got == want
