@@ -92,6 +92,20 @@ def bit_array(hashes: DataFrame, column: str, log2_bits: int):
     return hashes.sparkSession.sparkContext.broadcast(table)
 
 
+def bit_arrays(hashes: DataFrame, column: str, levels: list[tuple[Column, int]]) -> list:
+    """Filters of the rows that fulfil each condition, with the log2 of each filter's bits; one job for all."""
+    marks = F.array(*[F.struct(F.lit(i).alias("level"), F.when(when, F.col(column).bitwiseAND(F.lit((1 << bits) - 1))).alias("at")) for i, (when, bits) in enumerate(levels)])
+    rows = hashes.select(F.explode(marks).alias("m")).where("m.at IS NOT NULL").select("m.level", F.shiftright("m.at", 6).alias("word"), F.expr("shiftleft(1L, cast((m.at & 63) AS INT))").alias("bit"))
+    words = rows.groupBy("level", "word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    level, word, value = (words.column(c).to_numpy() for c in ("level", "word", "bits"))
+    out = []
+    for i, (_, bits) in enumerate(levels):
+        table, mine = np.zeros(max(1, (1 << bits) >> 6), np.uint64), level == i
+        table[word[mine]] = value[mine].astype(np.int64).view(np.uint64)
+        out.append(hashes.sparkSession.sparkContext.broadcast(table))
+    return out
+
+
 def test_bits(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which of the hashes may be in the filter."""
     h = hashes.astype(np.uint64, copy=False)
@@ -126,6 +140,17 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, ou
     return joined.withColumn(out, F.col("_local") + F.col("_shift")).drop("_local", "_shift", "_range", "_r", *[f"_k{i}" for i in range(len(keys))])
 
 
+def near_labels(edges: DataFrame) -> DataFrame:
+    """(node, component): the smallest node within four links.  Equal labels mean connected nodes; nodes of
+    one component may still have several.  Cheaper than `components` where that is enough."""
+    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    label = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "near")
+    for _ in range(2):  # one link, then two, then four
+        up = label.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+        label = materialize(label.join(up, F.col("component") == F.col("_n"), "left").select("node", F.least("component", F.coalesce("_c", "component")).alias("component")), "near")
+    return label
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an undirected edge list by alternating large and small stars.
 

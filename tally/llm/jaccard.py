@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import among, bit_array, bits_for, components, materialize, test_bits
+from .common import among, bit_array, bit_arrays, bits_for, components, materialize, near_labels, test_bits
 from .tokens import mix, shingle_sets, slices
 
 #: Filters in Python tasks hold at most 2**27 bits (16 MB); a filter that is full only costs time.
@@ -221,7 +221,7 @@ def _emit_entries(k: int, bands: Bands, reps, levels):
 def _levels(counts: DataFrame, most: int) -> list:
     """Filters of ever more frequent signatures of a written table (sig, c)."""
     n = counts.count()
-    return [bit_array(counts.where(F.col("c") >= least), "sig", bits_for(max(1, n // least * 2), most)) for least in (2, 4, 8, 16, 32, 128, 512)]
+    return bit_arrays(counts, "sig", [(F.col("c") >= least, bits_for(max(1, n // least * 2), most)) for least in (2, 4, 8, 16, 32, 128, 512)])
 
 
 def _linked(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
@@ -266,7 +266,7 @@ def _may_link(x: str, y: str) -> Column:
     return (4 * n >= 3 * m) & (4 * m >= 3 * n) & (SEVENTH * apart <= n + m)
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, rounds: int = 2) -> DataFrame:
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, rounds: int = 1) -> DataFrame:
     """Links texts whose k-word shingle sets have a Jaccard similarity of at least 0.75, exactly.
 
     1. Texts with equal sets are one class; only its smallest id goes on.
@@ -280,8 +280,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
        frequent segments as far as the pigeonhole allows (cost-based allocation).
     4. Sets that share a signature are not paired with each other but with the smallest id that
        shares it (the pivot).  Links join components; only sets that share a signature with
-       another component go on.  After `rounds` rounds the sets still open are compared within
-       their signatures, across components only.  Every pair is first compared by size and by a
+       another component go on (between rounds, components are told from links at most four steps long).
+       After `rounds` rounds the sets still open are compared within their signatures, across components only.  Every pair is first compared by size and by a
        parity sketch of 1,024 bits, which never loses a link, inside the join; what passes is verified on whole
        texts.  So groups of many copies cost one verification a member, and no link
        between components is lost.
@@ -314,16 +314,15 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def likely(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sizes and sketches allow a link."""
-        half = materialize(pairs.join(side("x_"), F.col("a") == F.col("x_rep")).select("a", "b", "x_n", "x_sketch"), "half-pairs")
-        return half.join(side("y_"), (F.col("b") == F.col("y_rep")) & _may_link("x_", "y_")).select("a", "b").distinct()
+        half = pairs.join(side("x_"), F.col("a") == F.col("x_rep")).select("a", "b", "x_n", "x_sketch")
+        return half.join(side("y_"), (F.col("b") == F.col("y_rep")) & _may_link("x_", "y_")).select("a", "b")  # no distinct: Spark could not split a hot pivot
 
     def verified(pairs: DataFrame) -> DataFrame:
         """pairs (a, b) -> (a, b, ok), by the whole texts of both."""
         involved = materialize(pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct(), "involved")
         texts = materialize(among(known, "_id", involved), "texts")
         both = pairs.join(texts.select(F.col("_id").alias("_a"), F.col("_text").alias("ta")), F.col("a") == F.col("_a"))
-        both = materialize(both.select("a", "b", "ta"), "text-pairs")
-        both = both.join(texts.select(F.col("_id").alias("_b"), F.col("_text").alias("tb")), F.col("b") == F.col("_b"))
+        both = both.select("a", "b", "ta").join(texts.select(F.col("_id").alias("_b"), F.col("_text").alias("tb")), F.col("b") == F.col("_b"))
         return materialize(both.select("a", "b", "ta", "tb").mapInArrow(_verify(k, threshold), "a long, b long, ok boolean"), "verified")
 
     def across(members: DataFrame) -> DataFrame:
@@ -341,11 +340,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if turn == 0 and rounds:  # each set and the smallest of its pivots
             pairs = likely(members.where("id > pivot").groupBy(F.col("id").alias("a")).agg(F.min("pivot").alias("b")))
         else:
-            label = materialize(components(edges), "labels")
+            label = near_labels(edges)
             named = members.select("sig", "id", "pivot", "ask").join(label, F.col("id") == F.col("node"), "left")
             named = materialize(named.select("sig", "id", "pivot", "ask", F.coalesce("component", "id").alias("c")), "named")
             mixed = named.groupBy("sig").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi")).where("_lo < _hi").select(F.col("sig").alias("msig"))
-            members = materialize(named.join(mixed, F.col("sig") == F.col("msig"), "left_semi"), "open")
+            members = named.join(mixed, F.col("sig") == F.col("msig"), "left_semi")
+            if turn < rounds:
+                members = materialize(members, "open")
             if turn < rounds:
                 home = members.where("id = pivot").select(F.col("sig").alias("hsig"), F.col("c").alias("hc"))
                 pairs = members.where("id > pivot").join(home, F.col("sig") == F.col("hsig")).where("c <> hc")
