@@ -114,3 +114,12 @@ def release_gate(observations: DataFrame, keys: list[str]) -> DataFrame:
     """A month is available once an observation is done and has visits or a rank."""
     ok = (F.col("status") == "done") & (F.col("visits").isNotNull() | F.col("global_rank").isNotNull())
     return observations.groupBy(*keys).agg(F.when(F.max(ok), "available").otherwise("unavailable").alias("status"), F.count("*").alias("attempts"))
+
+
+def probe_due(keys: DataFrame, observed: DataFrame, on: list[str], before: Column) -> DataFrame:
+    """Whether a release must be probed (G9): never seen, or not available and last checked by `before`.
+
+    observed: the keys, available, checked_at; one row a key.
+    """
+    j = keys.join(observed.withColumn("_seen", F.lit(True)), on, "left")
+    return j.select(*on, F.when(F.col("_seen").isNull(), True).when(F.col("available"), False).otherwise(F.col("checked_at") <= before).alias("due"))
