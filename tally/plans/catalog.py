@@ -318,10 +318,14 @@ def identity_jaccard(spark: SparkSession, d: str) -> DataFrame:
     SELECT candidate, CASE WHEN best >= 0.3 AND NOT coalesce(second >= 0.3 AND best - second < 0.02, FALSE) THEN s END AS subject, round(best, 6) AS best, CASE WHEN best < 0.3 THEN 'new' WHEN second >= 0.3 AND best - second < 0.02 THEN 'conflict' ELSE 'matched' END AS status FROM b""")
 def identity_resolution(spark: SparkSession, d: str) -> DataFrame:
     """Scores to matched, conflict or new by the two best subjects (H-10)."""
-    t = table(spark, d, "part").select("p_partkey", "p_brand", "p_type", F.lower("p_name").alias("name"), F.array_distinct(F.split(F.lower("p_name"), " ")).alias("signature"))
-    a = t.where("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "candidate")
-    b = t.where("p_partkey % 2 = 1").withColumnsRenamed({"p_partkey": "subject", "name": "known_name", "signature": "known_signature"})
-    return C.resolve_identity(C.identity_scores(a, b, ["p_brand", "p_type"]), 0.3, 0.02).withColumn("best", F.round("best", 6))
+    none = F.array().cast("array<string>")
+    t = table(spark, d, "part").select("p_partkey", "p_brand", "p_type", F.lower("p_name").alias("name"), F.array_distinct(F.split(F.lower("p_name"), " ")).alias("card"), none.alias("anchor"), none.alias("price"), F.lit("").alias("audience"), F.lit("").alias("billing"), F.lit(None).cast("int").alias("position"))
+    a = t.where("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "candidate").withColumn("structured_id", F.lit(""))
+    b = t.where("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "subject").withColumn("structured_ids", none).withColumn("names", F.array("name")).drop("name")
+    block = ["p_brand", "p_type"]
+    scored = C.identity_scores(a, b, block)
+    compared = a.join(b.select(*block).distinct(), block, "left_semi")
+    return C.resolve_identity(scored, 0.3, 0.02, compared).withColumn("best", F.round("best", 6))
 
 
 def _judged(spark: SparkSession, d: str) -> DataFrame:
