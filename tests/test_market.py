@@ -50,6 +50,10 @@ def test_rollups_and_coverage(snapshot):
     assert M.gate_failures(c) == []
     assert M.gate_failures(c, c | {"total_tools": 3}) == ["total_tools: 2 after 3"]
     assert "country_tools: 0 of at least 1" in M.gate_failures(c | {"country_tools": 0})
+    # A tool of an unknown category is in no category's rollup, which the equalities tell.
+    assert len(c) == 28 and M.rollup_mismatches(c) == ["facet_rollup_category_tools=1 expected=2"]
+    assert M.rollup_mismatches(c | {"category_tools": 1, "current_catalog_eligibility_revision": 5}) == ["current_catalog_eligibility_revision=5 expected=0"]
+    assert M.coverage_payload(c)["dr_baseline_window_days"] == [20, 45]
 
 
 def test_a_named_month_passes_the_gate(snapshot):
