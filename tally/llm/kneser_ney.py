@@ -53,10 +53,19 @@ def _save(folder: str, name: str, array: np.ndarray) -> None:
 
 
 def _map(folder: str, name: str, dtype) -> np.ndarray:
-    path = f"{folder}/{name}"
-    if not os.path.exists(path) or not os.path.getsize(path):
-        return np.zeros(0, dtype)
-    return np.memmap(path, dtype, "r")
+    """A mapped array.  Every shard has a file, so a missing one means that the folder isn't shared: that
+    raises, as zeros would be scored silently."""
+    path, item = f"{folder}/{name}", np.dtype(dtype).itemsize
+    size = os.path.getsize(path)  # raises if it isn't there
+    if size % item:
+        raise OSError(f"{path} holds {size} bytes, not whole items of {item}")
+    return np.memmap(path, dtype, "r") if size else np.zeros(0, dtype)
+
+
+def _make_room(maps: dict, most: int = 2048) -> None:
+    """Forgets all maps when there are too many: a process may hold only so many, however many shards."""
+    if len(maps) >= most:
+        maps.clear()
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +138,10 @@ class Vocabulary:
         out = np.full(len(hashes), self.size, np.int64)
         shard = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
         for s in np.unique(shard):
+            if self.start[s] == self.start[s + 1]:  # no word, no file
+                continue
             if s not in self.maps:
+                _make_room(self.maps)
                 self.maps[s] = _map(self.folder, f"words-{s}", "<u8")
             keys, at = self.maps[s], np.flatnonzero(shard == s)
             if len(keys):
@@ -206,9 +218,11 @@ class Model:
     distinct: int  # different bigrams
     discount: tuple[np.ndarray, np.ndarray]  # of bigrams, of continuation counts; by count 0, 1, 2, 3+
     maps: dict[str, np.ndarray] = field(default_factory=dict)
+    present: frozenset[int] = frozenset()  # shards of bigrams that have any
 
     def _shard(self, name: str, dtype) -> np.ndarray:
         if name not in self.maps:
+            _make_room(self.maps)
             self.maps[name] = _map(self.vocabulary.folder, name, dtype)
         return self.maps[name]
 
@@ -220,7 +234,7 @@ class Model:
         for s in range(len(start) - 1):
             if cut[s] < cut[s + 1]:
                 out[cut[s] : cut[s + 1]] = self._shard(f"table-{s}", WORD)[ids[cut[s] : cut[s + 1]] - start[s]]
-        if len(ids) and ids[-1] == self.vocabulary.size + 1:  # the start is no word but has followers
+        if self.tokens and len(ids) and ids[-1] == self.vocabulary.size + 1:  # the start is no word but has followers
             begin = self._shard("table-start", WORD)
             if len(begin):
                 out[ids == self.vocabulary.size + 1] = begin[0]
@@ -231,6 +245,8 @@ class Model:
         out = np.zeros(len(keys), np.int64)
         shard = np.searchsorted(self.bounds, keys, "right")
         for s in np.unique(shard):
+            if s not in self.present:
+                continue
             a, b = np.searchsorted(shard, s), np.searchsorted(shard, s, "right")
             table = self._shard(f"pairs-{s}", "<u8")
             if len(table):
@@ -349,7 +365,7 @@ def _write_pairs(folder: str, starts: np.ndarray):
                     if a < b:
                         rows.append((s, kind, np.ascontiguousarray(block[:, a:b].astype("<u4")).tobytes()))
         seen = [int((counts == i).sum()) for i in (1, 2, 3, 4)]
-        rows.append((-1, 2, np.array([*seen, len(keys)], "<u8").tobytes()))
+        rows.append((-1, 2, np.array([*seen, len(keys), shard], "<u8").tobytes()))
         return pa.table({"word_shard": pa.array([r[0] for r in rows], pa.int32()), "kind": pa.array([r[1] for r in rows], pa.int32()), "block": pa.array([r[2] for r in rows], pa.binary())})
 
     return run
@@ -362,7 +378,7 @@ def _write_table(folder: str, starts: np.ndarray):
         base = int(starts[shard]) if words else int(starts[-1]) + 1
         n = int(starts[shard + 1] - starts[shard]) if words else 1
         out = np.zeros(n, WORD)
-        if words:
+        if words and n:
             out["count"] = _map(folder, f"freq-{shard}", "<u4")
         for kind, raw in zip(table.column("kind").to_pylist(), table.column("block").to_pylist(), strict=True):
             block = np.frombuffer(raw, "<u4").reshape(5 if kind == 0 else 2, -1)
@@ -400,7 +416,8 @@ def train(docs: DataFrame, text_col: str = "text", tokens_per_shard: int = 2_000
     vocabulary = Vocabulary(folder, bits, starts)
     # Bounds of the bigram shards: even id ranges, and for each frequent first word cuts by second word.
     share = max(1, tokens // max(1, int(shards)))
-    frequent = spark.createDataFrame([(i,) for i, x in enumerate(n) if x] or [(0,)], "shard int").repartition(min(len(n), 64)).mapInArrow(_heavy(folder, max(1, share // 2)), "shard int, place long, n long").collect()
+    held = [(i,) for i, x in enumerate(n) if x]
+    frequent = spark.createDataFrame(held, "shard int").repartition(min(len(n), 64)).mapInArrow(_heavy(folder, max(1, share // 2)), "shard int, place long, n long").collect() if held else []
     cuts = {int(i) << 32 for i in np.linspace(0, vocabulary.size + 2, int(shards) + 1)[1:-1]}
     for r in [*[(starts[r["shard"]] + r["place"], r["n"]) for r in frequent], (vocabulary.size + 1, 0)]:
         pieces = -(-2 * r[1] // share)
@@ -412,15 +429,14 @@ def train(docs: DataFrame, text_col: str = "text", tokens_per_shard: int = 2_000
     path = shared_path(spark, "kneser-ney-stats")
     stats.write.parquet(path)
     stats = spark.read.schema(stats.schema).parquet(path)
-    seen = np.zeros(5, np.int64)
-    for r in stats.where("word_shard < 0").select("block").collect():
-        seen += np.frombuffer(r[0], "<u8").astype(np.int64)
+    numbers = [np.frombuffer(r[0], "<u8").astype(np.int64) for r in stats.where("word_shard < 0").select("block").collect()]
+    seen = np.sum([x[:5] for x in numbers], axis=0) if numbers else np.zeros(5, np.int64)
     every = spark.createDataFrame([(i, 1, b"") for i in range(len(n))], stats.schema)  # shards of words that come in no bigram
     tables = stats.where("word_shard >= 0").unionByName(every).groupBy("word_shard").applyInArrow(_write_table(folder, begin), "seen array<long>").collect()
     cont = np.sum([r[0] for r in tables], axis=0) if tables else np.zeros(5, np.int64)
     d1, d2 = discounts(seen[:4].tolist()), discounts(cont[:4].tolist())
     freed = float(d2[1] * cont[0] + d2[2] * cont[1] + d2[3] * cont[4])
-    return Model(vocabulary, bounds, tokens, int(seen[4]), (d1, d2), freed=freed)
+    return Model(vocabulary, bounds, tokens, int(seen[4]), (d1, d2), freed=freed, present=frozenset(int(x[5]) for x in numbers))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", stutter: bool = False) -> DataFrame:

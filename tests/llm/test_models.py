@@ -11,6 +11,7 @@ from tally.llm import kneser_ney
 from tally.llm.mixing import integer_shares, mix_sources, pfair_period, schedule
 from tally.llm.neardup import near_duplicates
 from tally.llm.packing import Shard, Tokens, pack
+from tally.llm import quality
 from tally.llm.quality import classify_quality
 from tally.llm.sharding import shard_by_bytes
 
@@ -88,6 +89,31 @@ def test_quality_separates_held_out_labels(spark):
     assert sum(got[2000 + i] for i in range(20)) == 0
 
 
+@pytest.mark.parametrize("stutter", [False, True])
+def test_count_joins_score_as_the_mapped_model(spark, tmp_path, stutter):
+    """The joined counts and the memory-mapped arrays are the same model."""
+    rows = corpus(7, 40)
+    df = frame(spark, rows, False).select("doc_id", F.col("text").alias("_text"))
+    train_rows = df.where("doc_id % 3 <> 0")
+    df.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    got = quality.score(docs, quality.train(train_rows), stutter).collect()
+    want = kneser_ney.score(df, kneser_ney.train(train_rows, "_text"), "_text", stutter=stutter).collect()
+    key = lambda r: (r.doc_id is None, r.doc_id, r.n_tokens, round(r.score, 6))
+    assert sorted(map(key, got), key=str) == sorted(map(key, want), key=str)
+    # Rows that don't come straight from files are written first.
+    again = quality.score(docs.groupBy("doc_id", "_text").count().drop("count"), quality.train(train_rows), stutter).collect()
+    assert {key(r) for r in again} == {key(r) for r in got}
+
+
+def test_a_missing_shard_raises(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        kneser_ney._map(str(tmp_path), "words-0", "<u8")
+    (tmp_path / "cut").write_bytes(b"12345")
+    with pytest.raises(OSError, match="whole items"):
+        kneser_ney._map(str(tmp_path), "cut", "<u8")
+
+
 def test_quality_without_trusted_text(spark):
     labels = spark.createDataFrame([(1, 0, 0)], "doc_id bigint, quality int, toxic int")
     assert all(r.accepted for r in classify_quality(frame(spark, corpus()[:20], False), labels).collect())
