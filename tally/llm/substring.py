@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bit_array, bit_words, bits_for, materialize, test_bits, with_bit
-from .tokens import WordHashes, mix, texts_in
+from .common import bit_array, bit_words, bits_for, materialize, shared_path, test_bits, with_bit
+from .tokens import mix, slices, texts_in, word_hashes
 
 #: Filters hold at most 2**26 bits (8 MB) in Python tasks and 2**24 bits in joins.
 MOST_BITS, MOST_DOC_BITS = 26, 24
@@ -61,12 +62,10 @@ class Runs:
 
     def __init__(self, window: int, gram: int):
         self.window, self.gram = window, gram
-        self.hashes, self.rolling = WordHashes(), Rolling()
+        self.rolling = Rolling()
 
-    def of(self, texts: list[bytes | None]):
-        split = [(t or b"").split() for t in texts]
-        n = np.fromiter(map(len, split), np.int64, len(split))
-        words = mix(self.hashes.of([w for s in split for w in s]))
+    def of(self, texts: pa.Array):
+        words, n = word_hashes(texts, False)
         begin = n.cumsum() - n
         roll = self.rolling.of(words)
         grams = roll.ranges(np.arange(max(0, len(words) - self.gram + 1)), self.gram)
@@ -91,7 +90,8 @@ def _signed(a: np.ndarray) -> pa.Array:
 def _entries(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = Runs(window, gram)
-        for batch, texts in texts_in(batches, "_text"):
+        for batch in slices(batches, "_text"):
+            texts = batch.column("_text")
             _, text, print_, whole, start, count, _ = runs.of(texts)
             take = pa.array(text)
             yield pa.RecordBatch.from_arrays([_signed(print_), _signed(whole), batch.column("_id").take(take), batch.column("_row").take(take), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))], names=["fp", "whole", "_id", "_row", "start", "n"])
@@ -114,7 +114,8 @@ def _windows(window: int, gram: int, shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs, table = Runs(window, gram), shared.value
-        for batch, texts in texts_in(batches, "_text"):
+        for batch in slices(batches, "_text"):
+            texts = batch.column("_text")
             roll, text, print_, whole, start, count, at = runs.of(texts)
             ids = batch.column("_id").to_numpy().astype(np.int64)
             hit = test_bits(table, _owner_keys(print_, whole, ids[text]))
@@ -128,44 +129,109 @@ def _windows(window: int, gram: int, shared):
 
 
 class FingerprintIndex:
-    """Sorted immutable runs of (fingerprint, content hash of the run of windows, least id).
+    """A log-structured index in a shared folder: sorted immutable runs of (fingerprint, content hash of the run of
+    windows, least id), and of each fingerprint's least and greatest content.
 
-    `add` merge-joins a batch with every run, writes the batch as a new run and, once a level has
-    `fanout` runs, compacts them into one of the next level.  All runs are written tables.
+    Runs are Parquet, bucketed and sorted by their key, so the merge joins of a batch with the runs before
+    neither shuffle nor sort them.  Two runs of one level are compacted by a merge join into one of the next; a
+    run is complete once Spark has marked it so, and a wider complete run replaces the narrower ones, so a writer
+    that dies leaves a valid index.  An index that is opened again holds what was added before.  One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, fanout: int = 3):
-        self.spark, self.fanout = spark, fanout
-        self.levels: list[list[DataFrame]] = [[]]
+    ENTRY, SUMMARY = ("fp", "whole"), ("fp",)
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.runs: list[tuple[int, int, int]] = []  # level, first and last batch
+        jvm = spark._jvm.org.apache.hadoop.fs
+        done = jvm.Path(f"{self.path}/run-*/entries/_SUCCESS")
+        names = [s.getPath().getParent().getParent().getName() for s in done.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(done) or []]
+        found = []
+        for name in names:
+            level, first, last, self.buckets = map(int, name.split("-")[1:])
+            found.append((level, first, last))
+        for level, first, last in sorted(found, key=lambda r: (r[1], -r[2])):
+            if not self.runs or first > self.runs[-1][2]:
+                self.runs.append((level, first, last))
+
+    def _dir(self, run: tuple[int, int, int]) -> str:
+        return f"{self.path}/run-{run[0]:02d}-{run[1]:06d}-{run[2]:06d}-{self.buckets}"
+
+    def _table(self, run: tuple[int, int, int], kind: str) -> DataFrame:
+        """A run as a bucketed table; Spark takes the buckets' order from the one file that each has."""
+        name = f"run_{abs(hash(self._dir(run))):x}_{kind}"
+        columns, by = ("fp BIGINT, whole BIGINT, owner BIGINT, last BIGINT", self.ENTRY) if kind == "entries" else ("fp BIGINT, low BIGINT, high BIGINT", self.SUMMARY)
+        keys = ", ".join(by)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self._dir(run)}/{kind}'")
+        return self.spark.table(name)
+
+    def _write(self, rows: DataFrame, run: tuple[int, int, int], kind: str) -> None:
+        by = self.ENTRY if kind == "entries" else self.SUMMARY
+        name = f"write_{uuid.uuid4().hex}"
+        rows.write.mode("overwrite").option("path", f"{self._dir(run)}/{kind}").bucketBy(self.buckets, *by).sortBy(*by).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+
+    def _ordered(self, action):
+        """Runs an action while Spark trusts the order of bucket files (each bucket has one)."""
+        key = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+        before = self.spark.conf.get(key, None)
+        self.spark.conf.set(key, "true")
+        try:
+            return action()
+        finally:
+            self.spark.conf.unset(key) if before is None else self.spark.conf.set(key, before)
 
-    @property
     def entries(self) -> DataFrame:
-        tables = [t for level in self.levels for t in level]
-        out = tables[0]
-        for t in tables[1:]:
-            out = out.unionByName(t)
-        return out
-
-    @staticmethod
-    def _sorted_run(rows: DataFrame, owner: str) -> DataFrame:
-        return materialize(rows.groupBy("fp", "whole").agg(F.min(owner).alias("owner")).sortWithinPartitions("fp", "whole"), "run")
-
-    def add(self, batch: DataFrame) -> DataFrame:
-        """Entries of the batch whose whole run of windows is in a document with a smaller id."""
-        self.levels[0].append(self._sorted_run(batch, "_id"))
-        found = batch.join(self.entries.hint("merge"), ["fp", "whole"]).where("owner < _id")
+        """(fp, whole, owner) of all live runs; a content may stand in several."""
+        out = None
+        for r in self.runs:
+            t = self._table(r, "entries").select("fp", "whole", "owner")
+            out = t if out is None else out.unionByName(t)
+        return out if out is not None else self.spark.createDataFrame([], "fp long, whole long, owner long")
+
+    def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Adds a batch (fp, whole, _id, _row, start, n) whose ids are greater than those before.
+
+        Returns its entries whose whole run a document with a smaller id holds, and the fingerprints
+        under which the batch and the index hold different contents.
+        """
+        seq = self.runs[-1][2] + 1 if self.runs else 0
+        run = (0, seq, seq)
+        last = F.max("_id")
+        # `last` only where ids differ: most contents have one holder.
+        grouped = batch.groupBy("fp", "whole").agg(F.min("_id").alias("owner"), F.when(last > F.min("_id"), last).alias("last"))
+        self._write(batch.groupBy("fp").agg(F.min("whole").alias("low"), F.max("whole").alias("high")), run, "summary")
+        self._write(grouped, run, "entries")  # the last to be marked complete
+        own, held = self._table(run, "entries"), [F.col("owner")]
+        prints, low, high = self._table(run, "summary"), [F.col("low")], [F.col("high")]
+        for i, r in enumerate(self.runs):
+            t = self._table(r, "entries").select("fp", "whole", F.col("owner").alias(f"o{i}"))
+            own, held = own.join(t.hint("merge"), ["fp", "whole"], "left"), [*held, F.col(f"o{i}")]
+            t = self._table(r, "summary").select("fp", F.col("low").alias(f"l{i}"), F.col("high").alias(f"h{i}"))
+            prints, low, high = prints.join(t.hint("merge"), "fp", "left"), [*low, F.col(f"l{i}")], [*high, F.col(f"h{i}")]
+        least = F.least(*held) if len(held) > 1 else held[0]
+        owners = own.select("fp", "whole", least.alias("owner"), F.coalesce("last", "owner").alias("last")).where("owner < last").select("fp", "whole", "owner")
+        mixed = prints.where((F.least(*low) if len(low) > 1 else low[0]) < (F.greatest(*high) if len(high) > 1 else high[0])).select("fp")
+        owners, mixed = self._ordered(lambda: (materialize(owners, "owners-before"), materialize(mixed, "mixed")))
+        found = batch.join(owners, ["fp", "whole"]).where("owner < _id")
         found = materialize(found.select("_id", "_row", "start", "n"), "found")
-        level = 0
-        while len(self.levels[level]) >= self.fanout:
-            parts, self.levels[level] = self.levels[level], []
-            merged = parts[0]
-            for t in parts[1:]:
-                merged = merged.unionByName(t)
-            if level + 1 == len(self.levels):
-                self.levels.append([])
-            self.levels[level + 1].append(self._sorted_run(merged, "owner"))
-            level += 1
-        return found
+        self.runs.append(run)
+        self.compact()
+        return found, mixed
+
+    def compact(self) -> None:
+        """Merges the last two runs as long as they are of one level."""
+        while len(self.runs) > 1 and self.runs[-1][0] == self.runs[-2][0]:
+            a, b = self.runs[-2:]
+            run = (a[0] + 1, a[1], b[2])
+            old, new = (self._table(r, "summary").select("fp", F.col("low").alias(f"l{i}"), F.col("high").alias(f"h{i}")) for i, r in enumerate((a, b)))
+            merged = old.join(new.hint("merge"), "fp", "full").select("fp", F.least("l0", "l1").alias("low"), F.greatest("h0", "h1").alias("high"))
+            self._ordered(lambda m=merged, r=run: self._write(m, r, "summary"))
+            old, new = (self._table(r, "entries").select("fp", "whole", F.col("owner").alias(f"o{i}")) for i, r in enumerate((a, b)))
+            merged = old.join(new.hint("merge"), ["fp", "whole"], "full").select("fp", "whole", F.least("o0", "o1").alias("owner"), F.lit(None).cast("long").alias("last"))
+            self._ordered(lambda m=merged, r=run: self._write(m, r, "entries"))
+            self.runs[-2:] = [run]
 
 
 def _apply(window: int):
@@ -190,7 +256,7 @@ def _apply(window: int):
     return run
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, gram: int = 10, batches: int = 3) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, gram: int = 10, batches: int = 3, index_path: str | None = None, history: DataFrame | None = None) -> DataFrame:
     """Removes each word that is covered by a window of `window` words whose word sequence also
     starts in a document with a smaller id.
 
@@ -204,6 +270,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        windows; those are grouped by fingerprint and 64-bit hash of the 50 words (128 bits together).
     4. Only texts that lose words are shuffled, with their spans.
 
+    With `index_path`, a folder that all executors share, the index stays there and later calls add to it:
+    pass the documents of the calls before as `history` (of its texts only the holders that step 3 asks for
+    are looked into), and only documents with greater ids as docs.  Without, the index lives in a new folder.
+
     Hot passages are aggregated with partial sums and joined from written tables, whose hot keys
     Spark can split; no group is collected.  All windows of whole texts count, as they are in the input.
 
@@ -212,27 +282,41 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other's words, and each loses its own.  Rows without an id lose nothing and remove nothing.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).withColumn("_row", F.xxhash64("_text"))
+    light = lambda d: d.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).withColumn("_row", F.xxhash64("_text"))
+    rows = light(docs)
     known = rows.where("_id IS NOT NULL")
+    index = FingerprintIndex(spark, index_path or shared_path(spark, "fingerprints"))
+    if index.runs and history is None:
+        raise ValueError("the index holds documents already: pass them as history")
     schema = "fp long, whole long, _id long, _row long, start int, n int"
     entries = materialize(known.mapInArrow(_entries(window, gram), schema), "entries")
-    cuts = known.agg(F.percentile_approx("_id", F.array(*[F.lit(i / batches) for i in range(1, batches)]), F.lit(1000))).first()[0] or []
-    index, settled = FingerprintIndex(spark), []
+    cuts = (known.agg(F.percentile_approx("_id", F.array(*[F.lit(i / batches) for i in range(1, batches)]), F.lit(1000))).first()[0] or []) if batches > 1 else []
+    settled, mixes = [], []
     edges = [None, *sorted(set(cuts)), None]
     for low, high in zip(edges[:-1], edges[1:], strict=True):
         part = entries if low is None else entries.where(F.col("_id") > low)
-        settled.append(index.add(part if high is None else part.where(F.col("_id") <= high)))
-
-    mixed = index.entries.groupBy("fp").agg(F.min("whole").alias("_a"), F.max("whole").alias("_b")).where("_a < _b").select(F.col("fp").alias("_fp"))
-    mixed = materialize(mixed, "mixed")
-    owners = index.entries.join(mixed, F.col("fp") == F.col("_fp"), "left_semi").groupBy("fp", "whole").agg(F.min("owner").alias("owner"))
+        found, mixed = index.add(part if high is None else part.where(F.col("_id") <= high))
+        settled.append(found)
+        mixes.append(mixed)
+
+    mixed = mixes[0]
+    for m in mixes[1:]:
+        mixed = mixed.unionByName(m)
+    mixed = materialize(mixed.distinct().select(F.col("fp").alias("_fp")), "mixed-all")
+    log2_fps = bits_for(mixed.count(), MOST_DOC_BITS)
+    asked = with_bit(index.entries(), F.xxhash64("fp"), bit_words(mixed.select(F.xxhash64("_fp").alias("_h")), "_h", log2_fps), log2_fps, "_maybe").where("_maybe")
+    owners = asked.join(mixed, F.col("fp") == F.col("_fp"), "left_semi").groupBy("fp", "whole").agg(F.min("owner").alias("owner"))
     owners = materialize(owners, "owners")
     keys = owners.mapInArrow(_keys, "h long")
     log2_bits = bits_for(owners.count(), MOST_BITS)
     shared = bit_array(keys, "h", log2_bits)
-    single = materialize(known.mapInArrow(_windows(window, gram, shared), "fp long, h long, _id long, _row long, start int"), "windows")
+    spread = lambda d: d.mapInArrow(_windows(window, gram, shared), "fp long, h long, _id long, _row long, start int")
+    single = spread(known).withColumn("_new", F.lit(True))
+    if history is not None:
+        single = single.unionByName(spread(light(history).where("_id IS NOT NULL")).withColumn("_new", F.lit(False)))
+    single = materialize(single, "windows")
     held = materialize(single.groupBy("fp", "h").agg(F.min("_id").alias("_owner"), F.max("_id").alias("_last")).where("_owner < _last").select("fp", "h", "_owner"), "held")
-    spans = single.join(held, ["fp", "h"]).where("_owner < _id").select("_id", "_row", "start", F.lit(1).alias("n"))
+    spans = single.where("_new").join(held, ["fp", "h"]).where("_owner < _id").select("_id", "_row", "start", F.lit(1).alias("n"))
     for part in settled:
         spans = spans.unionByName(part)
     spans = spans.groupBy(F.col("_id").alias("_did"), F.col("_row").alias("_drow")).agg(F.collect_list(F.struct("start", "n")).alias("_spans"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tally.llm.exact_dedup import exact_dedup
 from tally.llm.jaccard import Bands, Segments, jaccard_join, sketches
 from tally.llm.line_dedup import line_dedup
-from tally.llm.substring import substring_dedup
+from tally.llm.substring import FingerprintIndex, substring_dedup
 
 from .corpus import SCHEMA, components, corpus, frame, words
 
@@ -86,6 +86,28 @@ def test_substring_dedup(spark, rows, window, gram, batches):
     assert Counter((r.doc_id, r.text, r.n_words, r.n_removed) for r in got) == substring_reference(rows, window)
 
 
+def test_substring_index_stays(spark, rows, tmp_path):
+    """Calls in sequence on one index remove what one call removes; merge joins with history don't shuffle it."""
+    path = str(tmp_path / "index")
+    known = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0])
+    cuts = [known[: len(known) // 2], known[len(known) // 2 : -8], known[-8:]]
+    while cuts[0][-1][0] == cuts[1][0][0] or cuts[1][-1][0] == cuts[2][0][0]:  # rows of one id stay together
+        cuts[0].append(cuts[1].pop(0)) if cuts[0][-1][0] == cuts[1][0][0] else cuts[1].append(cuts[2].pop(0))
+    got, before = Counter(), []
+    for part in cuts:
+        out = substring_dedup(frame(spark, part), window=12, gram=4, batches=1, index_path=path, history=frame(spark, before) if before else None).collect()
+        got += Counter((r.doc_id, r.text, r.n_words, r.n_removed) for r in out)
+        before += part
+    assert got == substring_reference(known, 12)
+    index = FingerprintIndex(spark, path)
+    assert [r[0] for r in index.runs] == [1, 0] and index.runs[-1][2] == 2
+    old, new = (index._table(r, "entries") for r in index.runs)
+    plan = index._ordered(lambda: new.join(old.withColumnRenamed("owner", "o").hint("merge"), ["fp", "whole"], "left")._jdf.queryExecution().executedPlan().toString())
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    with pytest.raises(ValueError, match="history"):
+        substring_dedup(frame(spark, rows), index_path=path)
+
+
 def shingle_set(text):
     w = words(text, True)
     return frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) if w else frozenset()
