@@ -18,10 +18,13 @@ BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir).
 
-    Only where the session names no such folder, as in local tests, a temporary one is made.
+    Only where the session names no such folder and runs in one process, as in tests, a temporary one is made;
+    on a cluster that raises, since executors would not see each other's files.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
@@ -40,6 +43,19 @@ def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df under names that nothing inside an operator uses, and the inside name of each column."""
+    names = {c: f"_in{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def restored(df: DataFrame, names: dict[str, str], *results: Column) -> DataFrame:
+    """The columns under their own names, then the results; a column named like a result gives way to it."""
+    out = df.select(*names.values(), *results)
+    taken = {c.lower() for c in out.columns[len(names) :]}
+    return out.select(*[F.col(i).alias(c) for c, i in names.items() if c.lower() not in taken], *out.columns[len(names) :])
+
+
 def bits_for(n: int, most: int, per_key: int = 16) -> int:
     """log2 of the bits of a filter for n keys; `most` is the proven bound of what is broadcast."""
     return min(most, max(10, math.ceil(math.log2(max(1, n) * per_key))))

@@ -8,7 +8,6 @@ task that owns the shard and mapped, not loaded, by the tasks that score.
 
 from __future__ import annotations
 
-import operator
 import os
 import uuid
 from collections.abc import Iterator
@@ -22,18 +21,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import shared_path
-from .tokens import texts_in
+from .tokens import slices, word_hashes
 
-#: Not a word (a word holds no space): the end of each text.
-END = b" end"
+#: Stands for the end of each text among the hashes of words.
+END = np.uint64(2)
 LOW = np.uint64(0xFFFFFFFF)
 PAIR = np.dtype([("key", "<u8"), ("n", "<u4")])
 
 
-def _hash(words: list[bytes]) -> np.ndarray:
-    import xxhash
-
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
+def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tokens of all texts, each text's end among them, and tokens per text."""
+    words, n = word_hashes(column, True)
+    many = n + 1
+    last = many.cumsum() - 1
+    out, inside = np.empty(len(words) + len(n), np.uint64), np.ones(len(words) + len(n), bool)
+    inside[last] = False
+    out[inside], out[last] = words, END
+    return out, many
 
 
 def _folder(url: str) -> str:
@@ -99,21 +103,20 @@ def _count_words(bits: int, flush: int):
     """Counts of word hashes, combined in the task, dealt out by the top bits of the hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
-        counts: Counter = Counter()
+        keys, counts, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
 
         def blobs() -> pa.RecordBatch:
-            keys, n = _summed(_hash(list(counts)), np.fromiter(counts.values(), np.int64, len(counts)))
-            counts.clear()
-            return _blobs(keys, n, (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64))
-
-        for _, texts in texts_in(batches, "_text"):
-            for t in texts:
-                counts.update((t or b"").lower().split())
-            counts[END] += len(texts)
-            if len(counts) > flush:
+            k, n = _summed(np.concatenate(keys), np.concatenate(counts))
+            return _blobs(k, n, (k >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(k), np.int64))
+
+        for batch in slices(batches, "_text"):
+            k, n = np.unique(_tokens(batch.column("_text"))[0], return_counts=True)
+            keys.append(k)
+            counts.append(n)
+            held += len(k)
+            if held > flush:
                 yield blobs()
+                keys, counts, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
         yield blobs()
 
     return run
@@ -127,7 +130,6 @@ class Vocabulary:
     bits: int
     start: list[int]  # first id of each shard, and the size of the vocabulary
     maps: dict[int, np.ndarray] = field(default_factory=dict)
-    cache: dict[bytes, int] = field(default_factory=dict)
 
     @property
     def size(self) -> int:
@@ -150,33 +152,23 @@ class Vocabulary:
                 out[at[hit]] = i[hit] + self.start[s]
         return out
 
-    def ids(self, words: list[bytes], most: int = 400_000) -> np.ndarray:
-        if len(self.cache) > most:
-            self.cache.clear()
-        new = [w for w in set(words) if w not in self.cache]
-        if new:
-            hashes = _hash(new)
-            order = np.argsort(hashes)
-            ranks = np.empty(len(new), np.int64)
-            ranks[order] = self.rank(hashes[order])
-            self.cache.update(zip(new, ranks.tolist(), strict=True))
-        return np.fromiter(map(self.cache.__getitem__, words), np.int64, len(words))
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        different, at = np.unique(hashes, return_inverse=True)
+        return self.rank(different)[at]
 
 
-def _streams(vocabulary: Vocabulary, texts: list[bytes | None], stutter: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _streams(vocabulary: Vocabulary, column: pa.Array, stutter: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all tokens of the texts, of the tokens before them, and tokens per text.
 
     The start before a text has the id size + 1: no text holds it as a token.  With `stutter`, a
     word equal to the one before it counts as unknown.
     """
-    split = [[*(t or b"").lower().split(), END] for t in texts]
-    n = np.fromiter(map(len, split), np.int64, len(split))
-    flat = [w for words in split for w in words]
-    ids = vocabulary.ids(flat)
-    first = np.concatenate([[0], n.cumsum()[:-1]]).astype(np.int64)
+    hashes, n = _tokens(column)
+    ids = vocabulary.ids(hashes)
+    first = n.cumsum() - n
     if stutter:
         same = np.zeros(len(ids), bool)
-        same[1:] = np.fromiter(map(operator.eq, flat[1:], flat), bool, len(flat) - 1)
+        same[1:] = hashes[1:] == hashes[:-1]
         same[first] = False
         ids[same] = vocabulary.size
     before = np.empty_like(ids)
@@ -193,8 +185,8 @@ def _count_pairs(vocabulary: Vocabulary, bounds: np.ndarray, flush: int):
             k, n = _summed(np.concatenate(keys), np.concatenate(counts))
             return _blobs(k, n, np.searchsorted(bounds, k, "right"))
 
-        for _, texts in texts_in(batches, "_text"):
-            ids, before, _ = _streams(vocabulary, texts)
+        for batch in slices(batches, "_text"):
+            ids, before, _ = _streams(vocabulary, batch.column("_text"))
             k = (before.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64)
             k, n = np.unique(k, return_counts=True)
             keys.append(k)
@@ -260,9 +252,12 @@ class Model:
                 out[a:b] = np.where(hit, counts, 0)
         return out
 
-    def score(self, texts: list[bytes | None], stutter: bool = False) -> dict[str, np.ndarray]:
-        """Per text: n_tokens, n_known, base and score, the log10 probabilities of both models."""
-        ids, before, n = _streams(self.vocabulary, texts, stutter)
+    def score(self, column: pa.Array, stutter: bool = False, counts_of=None) -> dict[str, np.ndarray]:
+        """Per text: n_tokens, n_known, base and score, the log10 probabilities of both models.
+
+        counts_of: another way to the counts of sorted bigram keys than the mapped shards.
+        """
+        ids, before, n = _streams(self.vocabulary, column, stutter)
         size = self.vocabulary.size
         words, back = np.unique(ids, return_inverse=True)
         table = self._word(words)
@@ -282,7 +277,7 @@ class Model:
         free = (d[1] * after["n1"] + d[2] * after["n2"] + d[3] * after["n3"]) / np.maximum(total, 1)
         free[total == 0] = 1.0
         keys, pair_of = np.unique((before.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64), return_inverse=True)
-        c = self._pair(keys)
+        c = (counts_of or self._pair)(keys)
         high = np.maximum(c - d[np.minimum(c, 3)], 0)
         p = high[pair_of] / np.maximum(total, 1)[at] + free[at] * lower[back]
         starts = np.concatenate([[0], n.cumsum()[:-1]]).astype(np.int64)
@@ -406,7 +401,7 @@ def train(docs: DataFrame, text_col: str = "text", tokens_per_shard: int = 2_000
     size = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     shards = max(1, size // 6 // tokens_per_shard)
     bits = max(0, min(16, int(shards).bit_length()))
-    blobs = rows.mapInArrow(_count_words(bits, 500_000), BLOBS)
+    blobs = rows.mapInArrow(_count_words(bits, flush), BLOBS)
     sizes = blobs.groupBy("shard").applyInArrow(_write_words(folder), "shard int, n long, total long").collect()
     n = [0] * (1 << bits)
     for r in sizes:
@@ -444,8 +439,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", stutter: bool =
 
     With `stutter`, a word equal to the one before it is scored as an unknown word.  Null text
     counts as empty: one token, its end.  The arrays are mapped by each Python worker,
-    so memory holds only pages that were touched.
+    so memory holds only pages that were touched.  A column of docs named like a result gives way to it.
     """
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in ("n_tokens", "n_known", "base_score", "score") and c != text_col])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few numbers for each shard
     kept = [f for f in docs.schema.fields if f.name != text_col]
     names = ["n_tokens", "n_known", "base_score", "score"]
@@ -453,8 +449,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", stutter: bool =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch, texts in texts_in(batches, "_text"):
-            got = own.score(texts, stutter)
+        for batch in slices(batches, "_text"):
+            got = own.score(batch.column("_text"), stutter)
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *(pa.array(got[x]) for x in names)], names=[f.name for f in schema])
 
     return docs.withColumn("_text", F.col(text_col).cast("string")).select(*[F.col(f.name) for f in kept], "_text").mapInArrow(run, schema)

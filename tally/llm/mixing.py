@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import running_sum
+from .common import aside, restored, running_sum
 
 #: A schedule of up to so many blocks is broadcast; a longer one is joined by (source, block).
 BROADCAST_BLOCKS = 1 << 20
@@ -126,13 +126,16 @@ def mix_sources(docs: DataFrame, size_col: str, weights: dict[str, float] | None
     Returns the columns of docs, `block`, `release` and `deadline` (slots, within the
     whole mixture) and `slot`.  Ordering by (slot, id) gives the mixture.  A null source is a source
     of its own; sources missing in `weights` get the smallest weight given; a null size counts 0; rows that
-    repeat an id keep the order (id, size).  An empty input gives no rows.  Columns that
-    begin with an underscore are used inside.
+    repeat an id keep the order of size, then of a hash of the row.  An empty input gives no rows.  A column of docs
+    named like a result gives way to it; any other name is fine.
     """
     spark = docs.sparkSession
+    docs, names = aside(docs)
+    id_col, source_col, size_col = (names[c] for c in (id_col, source_col, size_col))
     sized = docs.withColumn("_source", F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("")))
     sized = sized.withColumn("_size", F.coalesce(F.col(size_col).cast("long"), F.lit(0)))
-    summed = running_sum(sized, ["_source"], [id_col, "_size"], "_size", "_before")
+    sized = sized.withColumn("_tie", F.xxhash64(*docs.columns))
+    summed = running_sum(sized, ["_source"], [id_col, "_size", "_tie"], "_size", "_before")
     totals = {r[0]: int(r[1]) for r in sized.groupBy("_source").agg(F.sum("_size")).collect()}
     blocks = {s: max(1, -(-n // block_bytes)) for s, n in totals.items()}
     if weights is None:
@@ -144,6 +147,6 @@ def mix_sources(docs: DataFrame, size_col: str, weights: dict[str, float] | None
         table = F.broadcast(table)
     block = F.least(F.floor(F.col("_before") / block_bytes), F.col("_last")).cast("long")
     last = spark.createDataFrame([(s, n - 1) for s, n in blocks.items()] or [("", 0)], "_s2 string, _last long")
-    placed = summed.join(F.broadcast(last), F.col("_source") == F.col("_s2")).withColumn("block", block).select(*docs.columns, "block", "_source")
-    joined = placed.join(table, (F.col("_source") == F.col("_s")) & (F.col("block") == F.col("_b")))
-    return joined.select(*docs.columns, "block", F.col("_release").alias("release"), F.col("_deadline").alias("deadline"), F.col("_slot").alias("slot"))
+    placed = summed.join(F.broadcast(last), F.col("_source") == F.col("_s2")).withColumn("_block", block).select(*docs.columns, "_block", "_source")
+    joined = placed.join(table, (F.col("_source") == F.col("_s")) & (F.col("_block") == F.col("_b")))
+    return restored(joined, names, F.col("_block").alias("block"), F.col("_release").alias("release"), F.col("_deadline").alias("deadline"), F.col("_slot").alias("slot"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import aside, materialize, restored
 
 
 def _keys(ids: np.ndarray, seqs: np.ndarray) -> np.ndarray:
@@ -130,9 +130,11 @@ def shard_by_bytes(docs: DataFrame, size_col: str, shards: int = 16, key_col: st
     task for a whole shard.
 
     Returns the columns of docs, shard (int), slot (long, from 0 in key order).  Rows without a key
-    come first; rows without a size count 0 bytes; an empty input gives no rows.  The columns
-    _key, _seq, _size, _range are used inside and must not be in docs.
+    come first; rows without a size count 0 bytes; an empty input gives no rows.  A column of docs named
+    shard or slot gives way to the result; any other name is fine.
     """
+    docs, names = aside(docs)
+    key_col, size_col = names[key_col], names[size_col]
     kept = materialize(docs.withColumn("_key", F.coalesce(F.col(key_col).cast("long"), F.lit(-(1 << 63)))).withColumn("_size", F.coalesce(F.col(size_col).cast("long"), F.lit(0))).withColumn("_seq", F.monotonically_increasing_id()), "sized")
     rows = kept.select("_key", "_seq", "_size")
     cuts, keys = splitters(rows, shards, tolerance)
@@ -147,9 +149,9 @@ def shard_by_bytes(docs: DataFrame, size_col: str, shards: int = 16, key_col: st
     first = {s: start[np.flatnonzero(shard_of == s)[0]] for s in np.unique(shard_of)}
     table = [(i, int(s), int(start[i] - first[s])) for i, s in enumerate(shard_of)]
     # One row for each range: at most shards x (ranges + 1) rows.
-    places = docs.sparkSession.createDataFrame(table, "_r int, shard int, _before long")
+    places = docs.sparkSession.createDataFrame(table, "_r int, _shard int, _before long")
     placed = kept.mapInArrow(_place(ends), T.StructType([*kept.schema.fields, T.StructField("_range", T.IntegerType())]))
     inside = Window.partitionBy("_range").orderBy("_key", "_seq")
     numbered = placed.withColumn("_n", F.row_number().over(inside) - 1)
-    out = numbered.join(F.broadcast(places), F.col("_range") == F.col("_r")).withColumn("slot", F.col("_before") + F.col("_n"))
-    return out.select(*docs.columns, "shard", "slot")
+    out = numbered.join(F.broadcast(places), F.col("_range") == F.col("_r"))
+    return restored(out, names, F.col("_shard").alias("shard"), (F.col("_before") + F.col("_n")).alias("slot"))

@@ -97,12 +97,12 @@ def test_count_joins_score_as_the_mapped_model(spark, tmp_path, stutter):
     train_rows = df.where("doc_id % 3 <> 0")
     df.write.parquet(str(tmp_path / "docs"))
     docs = spark.read.parquet(str(tmp_path / "docs"))
-    got = quality.score(docs, quality.train(train_rows), stutter).collect()
+    got = quality.score(docs, kneser_ney.train(train_rows, "_text"), stutter).collect()
     want = kneser_ney.score(df, kneser_ney.train(train_rows, "_text"), "_text", stutter=stutter).collect()
     key = lambda r: (r.doc_id is None, r.doc_id, r.n_tokens, round(r.score, 6))
     assert sorted(map(key, got), key=str) == sorted(map(key, want), key=str)
     # Rows that don't come straight from files are written first.
-    again = quality.score(docs.groupBy("doc_id", "_text").count().drop("count"), quality.train(train_rows), stutter).collect()
+    again = quality.score(docs.groupBy("doc_id", "_text").count().drop("count"), kneser_ney.train(train_rows, "_text"), stutter).collect()
     assert {key(r) for r in again} == {key(r) for r in got}
 
 
