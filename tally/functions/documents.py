@@ -209,6 +209,7 @@ class _Nodes(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes: list[dict] = []
         self.open: list[int] = []
+        self.chunks: list[str] = []  # a node's text is the range of chunks met while it is open
 
     def handle_starttag(self, tag, attrs):
         parent = self.open[-1] if self.open else -1
@@ -227,49 +228,59 @@ class _Nodes(HTMLParser):
             if line is not None:
                 line["cells"] += 1
                 column = line["cells"]
-        self.nodes.append({"tag": tag, "parent": parent, "attributes": {k: v or "" for k, v in attrs}, "hidden": hidden, "table_row": row, "table_column": column, "rows": -1, "cells": -1, "text": [], "end": len(self.nodes)})
+        self.nodes.append({"tag": tag, "parent": parent, "attributes": {k: v or "" for k, v in attrs}, "hidden": hidden, "table_row": row, "table_column": column, "rows": -1, "cells": -1, "from": len(self.chunks), "to": len(self.chunks), "end": len(self.nodes)})
         if tag not in self.VOID:
             self.open.append(len(self.nodes) - 1)
 
     def handle_endtag(self, tag):
         for depth in range(len(self.open) - 1, -1, -1):
             if self.nodes[self.open[depth]]["tag"] == tag:
-                for i in self.open[depth:]:
-                    self.nodes[i]["end"] = len(self.nodes) - 1
+                self._end(self.open[depth:])
                 del self.open[depth:]
                 return
 
     def handle_data(self, data):
         if self.open and self.nodes[self.open[-1]]["tag"] not in ("script", "style") and not self.nodes[self.open[-1]]["hidden"]:
-            for i in self.open:
-                self.nodes[i]["text"].append(data)
+            self.chunks.append(data)
+
+    def _end(self, nodes):
+        for i in nodes:
+            self.nodes[i]["end"], self.nodes[i]["to"] = len(self.nodes) - 1, len(self.chunks)
 
     def close(self):
         super().close()
-        for i in self.open:
-            self.nodes[i]["end"] = len(self.nodes) - 1
+        self._end(self.open)
+
+    def text(self, node: dict) -> str:
+        return " ".join(" ".join(self.chunks[node["from"] : node["to"]]).split())
 
 
 NODE_SCHEMA = "node int, parent int, end int, tag string, attributes map<string,string>, hidden boolean, table_row int, table_column int, text string"
+NODE_COLUMNS = ["_id", "node", "parent", "end", "tag", "attributes", "hidden", "table_row", "table_column", "text"]
 
 
 def dom_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """One row per element of each page.  A node's descendants are those with node < x <= end."""
     kind = pages.schema[id_col].dataType.simpleString()
+    ints, flags = ("node", "parent", "end", "table_row", "table_column"), pa.map_(pa.string(), pa.string())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for key, page in zip(batch["_id"], batch["_html"], strict=True):
+            for i, page in enumerate(batch.column("_html").to_pylist()):  # a batch for each page: bounded by the page
                 parser = _Nodes()
                 parser.feed(page or "")
                 parser.close()
-                for i, n in enumerate(parser.nodes):
-                    text = " ".join(" ".join(n["text"]).split())
-                    rows.append((key, i, n["parent"], max(i, n["end"]), n["tag"], n["attributes"], n["hidden"], n["table_row"], n["table_column"], text))
-            yield pd.DataFrame(rows, columns=["_id", "node", "parent", "end", "tag", "attributes", "hidden", "table_row", "table_column", "text"]).astype({"table_row": "Int32", "table_column": "Int32"})
-
-    out = pages.select(F.col(id_col).alias("_id"), F.col(html_col).alias("_html")).mapInPandas(run, f"_id {kind}, {NODE_SCHEMA}")
+                nodes = parser.nodes
+                if not nodes:
+                    continue
+                cells = {"node": range(len(nodes)), "parent": [n["parent"] for n in nodes], "end": [max(j, n["end"]) for j, n in enumerate(nodes)], "table_row": [n["table_row"] for n in nodes], "table_column": [n["table_column"] for n in nodes]}
+                columns = {c: pa.array(cells[c], pa.int32()) for c in ints} | {
+                    "_id": batch.column("_id").take(pa.array([i] * len(nodes), pa.int32())), "tag": pa.array([n["tag"] for n in nodes]), "attributes": pa.array([list(n["attributes"].items()) for n in nodes], flags),
+                    "hidden": pa.array([n["hidden"] for n in nodes]), "text": pa.array([parser.text(n) for n in nodes]),
+                }
+                yield pa.RecordBatch.from_arrays([columns[c] for c in NODE_COLUMNS], names=NODE_COLUMNS)
+
+    out = pages.select(F.col(id_col).alias("_id"), F.col(html_col).alias("_html")).mapInArrow(run, f"_id {kind}, {NODE_SCHEMA}")
     return out.withColumnRenamed("_id", id_col)
 
 
