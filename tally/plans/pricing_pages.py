@@ -219,3 +219,24 @@ def identity_decisions(spark: SparkSession, d: str) -> DataFrame:
     """matched, conflict or new at the reference's thresholds, lone candidates included."""
     candidates, scored = _scored(spark, d)
     return C.resolve_identity(scored, candidates=candidates).withColumn("best", F.round("best", 6))
+
+
+@query("""WITH c AS (SELECT o_custkey AS page_id, o_orderkey AS claim_id, o_orderkey % 9 AS k, o_orderkey % 7 AS e, o_orderkey % 2 = 0 AS norm FROM orders)
+    SELECT page_id, claim_id, CASE WHEN e IN (0, 1, 2, 3) THEN 'unsupported' WHEN k = 4 THEN 'conflict' WHEN k IN (0, 1, 2, 5, 6, 7) THEN 'entailed' ELSE 'unsupported' END AS status, CASE WHEN e > 3 AND k IN (0, 1, 2, 5, 6, 7) THEN CASE WHEN norm THEN 98 ELSE 92 END ELSE 0 END AS confidence,
+        CASE e WHEN 0 THEN 'claim has no evidence' WHEN 1 THEN 'evidence node is missing from DOM map' WHEN 2 THEN 'evidence is outside the selected pricing region' WHEN 3 THEN 'evidence quote cannot be located in its DOM node' ELSE
+        CASE WHEN k = 4 THEN 'price evidence contains multiple ISO currencies' WHEN k = 8 THEN 'validator does not support claim type' WHEN k = 3 THEN 'raw claim is not entailed by its evidence' ELSE 'deterministic evidence rules passed' END END AS reason FROM c""")
+def claim_evidence(spark: SparkSession, d: str) -> DataFrame:
+    """Claims joined with the nodes that their evidence names, and entailed or not."""
+    from tally.operators import evidence as V
+
+    o, k, e = table(spark, d, "orders"), F.col("o_orderkey") % 9, F.col("o_orderkey") % 7
+    kinds = ["has_free_plan", "has_free_trial", "card_required", "has_custom_quote", "usage_rate", "starting_paid_price", "pricing_models", "free_allowance", "weather"]
+    raws = ["true", '{"available":true}', "false", "true", '{"price_text":"$1","unit_raw":"query"}', '{"price_text":"USD 9"}', '["subscription","per_seat","hybrid"]', '{"quantity_raw":"5","unit_raw":"GB"}', "true"]
+    quotes = ["A  Free plan", "14-day free trial", "No credit card required", "Call me", "$1 per query, 2 EUR or 3 GBP", "Starting at usd 9 monthly", "9 / month per seat", "5 gb included", "sunny"]
+    pick = lambda x, i: F.get(F.array(*map(F.lit, x)), i.cast("int"))
+    claims = o.select(F.col("o_custkey").alias("page_id"), F.col("o_orderkey").alias("claim_id"), pick(kinds, k).alias("claim_type"), pick(raws, k).alias("raw"), F.when(F.col("o_orderkey") % 2 == 0, "normalized").otherwise("failed").alias("normalization_status"))
+    node = F.col("o_orderkey").cast("int")
+    nodes = o.where(e != 1).select(F.col("o_custkey").alias("page_id"), F.when(e == 2, node + 1_000_000).otherwise(node).alias("node"), F.when(e == 3, "other words").otherwise(F.concat(F.lit("x "), F.regexp_replace(F.upper(pick(quotes, k)), " +", "  "))).alias("text"))
+    said = o.where(e != 0).select(F.col("o_custkey").alias("page_id"), F.col("o_orderkey").alias("claim_id"), F.lit(0).alias("place"), F.when(e == 2, node + 1_000_000).otherwise(node).alias("node"), F.lit(0).alias("container"), pick(quotes, k).alias("quote"))
+    regions = o.select(F.col("o_custkey").alias("page_id")).distinct().select("page_id", F.lit(0).alias("root"), F.lit(999_999).alias("end"))
+    return V.validate(claims, said, nodes, regions)
