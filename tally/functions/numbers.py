@@ -120,3 +120,11 @@ def f1(p, r) -> Column:
 
 def iso_utc(ts) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def iso_timestamp(x) -> Column:
+    """A text's time as ISO 8601 in UTC with milliseconds and Z (F12); a text without a zone is in the session's, null if
+    it is no time."""
+    text = F.trim(_c(x).cast("string"))
+    at = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
+    return F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")

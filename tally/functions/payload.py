@@ -65,3 +65,13 @@ def wide_countries(shares, n: int = 5) -> list[Column]:
         out.append(F.upper(F.trim(F.get(_c(shares), F.lit(i))["CountryCode"])).alias(f"top_country_{i + 1}"))
         out.append(to_number(F.get(_c(shares), F.lit(i))["Value"]).alias(f"top_country_{i + 1}_traffic_share"))
     return out
+
+
+def with_legacy_countries(parsed, legacy) -> Column:
+    """Countries of a payload (F52): the parsed ones if any is valid, else the old wide columns', as (country, position, bps).
+
+    parsed, legacy: arrays of (CountryCode, Value).
+    """
+    own = country_shares(parsed)
+    old = F.filter(country_shares(legacy), lambda x: x["bps"].isNotNull())
+    return F.when(F.coalesce(F.size(own), F.lit(0)) > 0, own).otherwise(F.coalesce(old, own))

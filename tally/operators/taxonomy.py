@@ -121,3 +121,39 @@ def merged_capabilities(decisions: DataFrame, key: str, chunk: str) -> DataFrame
     """The strongest decision of each slug over several chunks, then the eight strongest."""
     best = decisions.groupBy(key, "slug").agg(F.max_by(F.struct("confidence", chunk), F.struct(F.col("confidence"), -F.col(chunk))).alias("_b")).select(key, "slug", "_b.*")
     return _first(best, key, [F.desc("confidence"), F.asc("slug")], MOST_CAPABILITIES)
+
+
+# -- product profiles -------------------------------------------------------------------------------
+
+PROFILE = "primary_job string, primary_outputs string, capabilities_raw string"
+
+
+def evidenced(raw: Column, url: Column) -> Column:
+    """A value and its evidence (F58) from an object {value|text, evidence|evidence_items}; null without both."""
+    o = F.from_json(raw, "value string, text string, evidence array<string>, evidence_items array<string>")
+    value = clip(F.coalesce(F.nullif(o["value"], F.lit("")), o["text"], F.lit("")), 500)
+    quotes = F.slice(evidence(F.coalesce(o["evidence"], o["evidence_items"]), url), 1, 5)
+    return F.when((value != "") & (F.size(quotes) > 0), F.struct(value.alias("value"), quotes.alias("evidence")))
+
+
+def evidenced_list(raw: Column, url: Column, most: int) -> Column:
+    """The first evidenced values of a JSON list; an object counts as a list of one."""
+    items = F.when(raw.startswith("{"), F.array(raw)).otherwise(F.from_json(raw, "array<string>"))
+    found = F.filter(F.transform(F.coalesce(items, F.array().cast("array<string>")), lambda x: evidenced(x, url)), lambda v: v.isNotNull())
+    return F.slice(found, 1, most)
+
+
+def product_profile(raw: str, url: str) -> Column:
+    """A product's profile from a model's answer (F59): what it does, up to six outputs and eight capabilities, each with
+    evidence; `has_signal` tells whether anything is left."""
+    o, u = F.from_json(raw, PROFILE), F.col(url)
+    job, outputs, capabilities = evidenced(o["primary_job"], u), evidenced_list(o["primary_outputs"], u, 6), evidenced_list(o["capabilities_raw"], u, MOST_CAPABILITIES)
+    signal = job.isNotNull() | (F.coalesce(F.size(outputs), F.lit(0)) > 0) | (F.coalesce(F.size(capabilities), F.lit(0)) > 0)
+    return F.struct(job.alias("primary_job"), outputs.alias("primary_outputs"), capabilities.alias("capabilities"), signal.alias("has_signal"))
+
+
+def profile_context(profile: str) -> Column:
+    """A profile as compact JSON for a classifier: values with two quotes each."""
+    short = lambda v: F.struct(v["value"].alias("value"), F.slice(F.transform(v["evidence"], lambda e: e["quote"]), 1, 2).alias("evidence_quotes"))
+    some = lambda c: F.when(F.size(F.col(f"{profile}.{c}")) > 0, F.transform(F.col(f"{profile}.{c}"), short))
+    return F.to_json(F.struct(F.when(F.col(f"{profile}.primary_job").isNotNull(), short(F.col(f"{profile}.primary_job"))).alias("primary_job"), some("primary_outputs").alias("primary_outputs"), some("capabilities").alias("capabilities_raw")))

@@ -222,3 +222,63 @@ def json_merge_paths(spark: SparkSession, d: str) -> DataFrame:
     k, i = F.col("event_id") % 7, F.col("event_id").cast("string")
     patch = F.when(k == 0, F.concat(F.lit('{"a":{"x":'), i, F.lit("}}"))).when(k == 1, F.concat(F.lit('{"a":{"y":'), i, F.lit("}}"))).when(k == 2, F.concat(F.lit('{"b":'), i, F.lit("}"))).when(k == 3, '{"a":null}').when(k == 4, '{"a":5}').when(k == 5, "no json").otherwise("{}")
     return H.merge_in_order(table(spark, d, "events").select("user_id", "event_id", patch.alias("patch")), ["user_id"], "event_id", "patch")
+
+
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.000Z' WHEN 1 THEN strftime(ts - INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S') || '.000Z' WHEN 2 THEN strftime(ts, '%Y-%m-%d') || 'T00:00:00.000Z' END AS at FROM events""")
+def iso_times(spark: SparkSession, d: str) -> DataFrame:
+    """Times of any zone as UTC."""
+    k, whole = F.col("event_id") % 4, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    raw = F.when(k == 0, F.concat(whole, F.lit("Z "))).when(k == 1, F.concat(whole, F.lit("+02:00"))).when(k == 2, F.date_format("ts", "yyyy-MM-dd")).otherwise("soon")
+    return table(spark, d, "events").select("event_id", N.iso_timestamp(raw).alias("at"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'US' WHEN o_orderkey % 3 = 1 THEN 'GB' END AS first, CASE WHEN o_orderkey % 3 = 0 THEN 5000 WHEN o_orderkey % 3 = 1 THEN 2500 END AS bps FROM orders""")
+def legacy_countries(spark: SparkSession, d: str) -> DataFrame:
+    """Old wide columns where a payload has no valid country."""
+    k = F.col("o_orderkey") % 3
+    share = lambda c, v: F.struct(F.lit(c).alias("CountryCode"), F.lit(v).alias("Value"))
+    parsed = F.when(k == 0, F.array(share("us", 0.5))).otherwise(F.array(share("?", 0.5), share("CA", 3.0)))
+    legacy = F.when(k != 2, F.array(share("gb", 0.25)))
+    rows = table(spark, d, "orders").select("o_orderkey", P.with_legacy_countries(parsed, legacy).alias("c"))
+    return rows.select("o_orderkey", F.get("c", F.lit(0))["country"].alias("first"), F.get("c", F.lit(0))["bps"].alias("bps"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN k > 0 THEN 'write ' || o_custkey END AS job, CASE WHEN k = 2 THEN 6 WHEN k = 3 THEN 1 ELSE 0 END AS outputs, CASE WHEN k = 2 THEN 8 ELSE 0 END AS capabilities, k > 0 AS has_signal, CASE k WHEN 0 THEN '{}' WHEN 1 THEN '{"primary_job":{"value":"write ' || o_custkey || '","evidence_quotes":["q1","q2"]}}' END AS context
+    FROM (SELECT o_orderkey, o_custkey, o_orderkey % 4 AS k FROM orders)""")
+def product_profiles(spark: SparkSession, d: str) -> DataFrame:
+    """Profiles of products: only what has evidence stays."""
+    from tally.operators import taxonomy as TX
+
+    k = F.col("o_orderkey") % 4
+    value = lambda v, n: F.struct(v.alias("value"), F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("q"), i.cast("string"))).alias("evidence"))
+    bare = F.struct(F.lit("no proof").alias("value"), F.array().cast("array<string>").alias("evidence"))
+    job = F.when(k > 0, value(F.concat(F.lit("write "), F.col("o_custkey").cast("string")), 3)).otherwise(bare)
+    many = F.transform(F.sequence(F.lit(1), F.lit(10)), lambda i: value(F.concat(F.lit("v"), i.cast("string")), 1))
+    outputs = F.when(k == 2, F.to_json(F.concat(F.array(bare), many))).when(k == 3, F.to_json(value(F.lit("one"), 1)))
+    raw = F.to_json(F.struct(F.to_json(job).alias("primary_job"), outputs.alias("primary_outputs"), F.when(k == 2, F.to_json(many)).alias("capabilities_raw")))
+    rows = table(spark, d, "orders").select("o_orderkey", F.lit("https://x.com").alias("url"), raw.alias("raw")).withColumn("p", TX.product_profile("raw", "url"))
+    return rows.select("o_orderkey", F.col("p.primary_job.value").alias("job"), F.coalesce(F.size("p.primary_outputs"), F.lit(0)).alias("outputs"), F.coalesce(F.size("p.capabilities"), F.lit(0)).alias("capabilities"), "p.has_signal", F.when(F.col("o_orderkey") % 4 < 2, TX.profile_context("p")).alias("context"))
+
+
+@query("""SELECT event_id, concat_ws('|', CASE WHEN n = 'lost' THEN 'unknown normalization_status: lost' END, CASE WHEN n <> 'lost' AND p = 'published' AND v <> 'entailed' THEN 'publishable claims must be entailed by evidence' END,
+    CASE WHEN n = 'not_applicable' AND t = 'usage_rate' THEN 'normalization is not_applicable only for presence claims, not usage_rate' END) AS errors FROM (
+    SELECT event_id, (['normalized', 'not_applicable', 'lost'])[event_id % 3 + 1] AS n, CASE WHEN event_id % 5 = 0 THEN 'pending' ELSE 'entailed' END AS v, CASE WHEN event_id % 2 = 0 THEN 'published' ELSE 'not_eligible' END AS p, CASE WHEN event_id % 7 < 3 THEN 'usage_rate' ELSE 'has_free_plan' END AS t FROM events)""")
+def claim_state_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Unknown values are told alone; only claims of presence do without normalization."""
+    from tally.operators import claims as C
+
+    k = F.col("event_id")
+    e = table(spark, d, "events").select("event_id", F.get(F.array(*map(F.lit, ("normalized", "not_applicable", "lost"))), (k % 3).cast("int")).alias("normalization_status"), F.when(k % 5 == 0, "pending").otherwise("entailed").alias("validation_status"),
+        F.lit("auto_verified").alias("decision_status"), F.lit("active").alias("lifecycle_status"), F.when(k % 2 == 0, "published").otherwise("not_eligible").alias("publication_status"), F.when(k % 7 < 3, "usage_rate").otherwise("has_free_plan").alias("kind"))
+    return e.select("event_id", F.array_join(C.claim_errors("kind"), "|").alias("errors"))
+
+
+@query("""SELECT doc_id, 2 AS n_plans, 0 AS least, 'Free' AS first, 'Starter' AS second, doc_id % 90 + 1 AS amount, CASE WHEN doc_id % 2 = 0 THEN 'monthly' ELSE 'yearly' END AS itv FROM documents WHERE doc_id % 3 = 0""")
+def text_plan_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Plans in texts that name prices (H12, O7, O8): free ones first, unfit contexts left out."""
+    i = F.col("doc_id")
+    starter = F.concat(F.lit("Choose a plan. Starter $"), (i % 90 + 1).cast("string"), F.when(i % 2 == 0, " per month for one. ").otherwise(" yearly for one. "), F.lit("x" * 300), F.lit(" Free $0 forever. "), F.lit("y" * 300))
+    text = F.when(i % 3 == 0, starter).when(i % 3 == 1, " save 10% with coupon $5 now").otherwise("nothing")
+    got = PR.text_plans(table(spark, d, "documents").select("doc_id", text.alias("text")), "doc_id", "text")
+    at = lambda n: F.get("plans", F.lit(n))
+    return got.select("doc_id", F.size("plans").alias("n_plans"), at(0)["amount"].cast("int").alias("least"), at(0)["plan"].alias("first"), at(1)["plan"].alias("second"), at(1)["amount"].cast("long").alias("amount"), at(1)["interval"].alias("itv"))
