@@ -387,7 +387,7 @@ def _write_table(folder: str, starts: np.ndarray):
     return run
 
 
-def train(docs: DataFrame, text_col: str = "text", tokens_per_shard: int = 2_000_000, flush: int = 4_000_000) -> Model:
+def train(docs: DataFrame, text_col: str = "text", tokens_per_shard: int = 2_000_000, flush: int = 1_500_000) -> Model:
     """Counts a bigram model on all rows of docs.
 
     Three Spark jobs: words, bigrams, and the words' tables.  Tasks combine their counts before
