@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,16 +31,23 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Whole texts go to Python in jobs run here: batches by bytes, not by rows."""
+    old = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, "4m")
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_BYTES, old)
+
+
 def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends there, so lost
     executors cost a reread, and no later stage repeats the work or sees another partitioning."""
     spark, path = df.sparkSession, shared_path(df.sparkSession, name)
-    old = spark.conf.get(BATCH_BYTES)
-    spark.conf.set(BATCH_BYTES, "4m")  # whole texts go to Python: batches by bytes, not by rows
-    try:
+    with small_batches(spark):
         df.write.options(**options).parquet(path)
-    finally:
-        spark.conf.set(BATCH_BYTES, old)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import shared_path
+from .common import shared_path, small_batches
 from .tokens import slices, word_hashes
 
 #: Stands for the end of each text among the hashes of words.
@@ -388,6 +388,12 @@ def _write_table(folder: str, starts: np.ndarray):
 
 
 def train(docs: DataFrame, text_col: str = "text", tokens_per_shard: int = 2_000_000, flush: int = 1_500_000) -> Model:
+    """Counts a bigram model on all rows of docs, see _train."""
+    with small_batches(docs.sparkSession):
+        return _train(docs, text_col, tokens_per_shard, flush)
+
+
+def _train(docs: DataFrame, text_col: str, tokens_per_shard: int, flush: int) -> Model:
     """Counts a bigram model on all rows of docs.
 
     Three Spark jobs: words, bigrams, and the words' tables.  Tasks combine their counts before

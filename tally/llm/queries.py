@@ -42,7 +42,8 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs_of(spark, sf_dir).select("doc_id", "text", (F.crc32(F.col("doc_id").cast("string")) % 7 == 2).alias("held_out"))
     model = kneser_ney.train(docs.where("NOT held_out"))
-    return kneser_ney.score(docs, model).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+    scored = materialize(kneser_ney.score(docs, model), "scores")  # written in batches by bytes
+    return scored.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
