@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kneser_ney
+from . import kneser_ney, merkle
 from .common import materialize
 from .exact_dedup import exact_dedup
 from .jaccard import jaccard_join
@@ -79,6 +80,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs_of(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.digest(*[F.col(c) for c in columns[:-1]], lowered))
+    rows = merkle.manifest(docs_of(spark, sf_dir), columns, "lang", "doc_id", carry={"tampered": changed})
+    rows = rows.withColumn("proof_sha256", merkle.proof_sha256(F.col("path"))).withColumn("folded_root", merkle.folded_root(F.coalesce("tampered", "leaf"), F.col("path")))
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scoring": op2_lm_scoring,
@@ -90,8 +100,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sharding": op9_sharding,
     "op10_line_dedup": op10_line_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
+#: The crc32 of a text, a framed value and a text with A-Z lower-cased, for SQL that has none of them: expressions over {0}.
+_FRAMED = "coalesce(CAST(octet_length(encode({0})) AS VARCHAR) || ':' || {0}, '-')"
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(octet_length(encode({0}))), lambda i: CAST('0x' || substr(hex(encode({0})), 2 * i + 1, 2) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda d, z: xor(d >> 1, 3988292384 * (d & 1)))))"""
+
+
+def _expanded(sql: str) -> str:
+    """SQL with calls crc(x), framed(x) and ascii_lower(x) replaced by what they stand for; the innermost first."""
+    for name, body in (("ascii_lower", _LOWER), ("framed", _FRAMED), ("crc", _CRC32)):
+        while f"{name}(" in sql:
+            start = sql.index(f"{name}(")
+            end, depth = start + len(name) + 1, 1
+            while depth:
+                depth += {"(": 1, ")": -1}.get(sql[end], 0)
+                end += 1
+            sql = sql[:start] + body.replace("{0}", sql[start + len(name) + 1 : end - 1]) + sql[end:]
+    return sql
+
+
 ORACLE_SQL: dict[str, str] = {
     "op8_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
@@ -106,4 +137,34 @@ ORACLE_SQL: dict[str, str] = {
              m AS (SELECT k.*, o.owner IS NOT NULL AND k.doc_id > o.owner AS gone FROM k LEFT JOIN o ON k.key = o.key)
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id""",
+    "op11_merkle_manifest": _expanded(r"""
+        WITH RECURSIVE f AS (SELECT doc_id, lang, framed(CAST(doc_id AS VARCHAR)) || framed(source) || framed(lang) || framed(CAST(n_chars AS VARCHAR)) AS head, text FROM documents),
+             leaves AS (SELECT doc_id, lang, sha256(head || framed(text)) AS leaf,
+                               CASE WHEN crc(CAST(doc_id AS VARCHAR)) % 3 = 0 THEN sha256(head || framed(ascii_lower(text))) ELSE sha256(head || framed(text)) END AS now FROM f),
+             placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+             low(g, k, pos, h, n) AS (
+                 SELECT lang, 0, pos, leaf, count(*) OVER (PARTITION BY lang) FROM placed
+                 UNION ALL
+                 SELECT g, k + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8 FROM low WHERE n > 1 GROUP BY g, k, pos // 8, n),
+             subs AS (SELECT g, h, row_number() OVER (ORDER BY encode(g) NULLS FIRST) - 1 AS pos FROM low WHERE n = 1),
+             top(k, pos, h, n) AS (
+                 SELECT 0, pos, h, count(*) OVER () FROM subs
+                 UNION ALL
+                 SELECT k + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8 FROM top WHERE n > 1 GROUP BY k, pos // 8, n),
+             nodes AS (SELECT g, k, pos, h, n FROM low WHERE n > 1),
+             walk AS (SELECT p.doc_id, p.lang, p.leaf, p.now, 0 AS part, w.k, p.pos // CAST(power(8, w.k) AS BIGINT) AS at FROM placed p JOIN (SELECT DISTINCT g, k FROM nodes) w ON w.g IS NOT DISTINCT FROM p.lang
+                      UNION ALL
+                      SELECT p.doc_id, p.lang, p.leaf, p.now, 1, w.k, s.pos // CAST(power(8, w.k) AS BIGINT) FROM placed p JOIN subs s ON s.g IS NOT DISTINCT FROM p.lang CROSS JOIN (SELECT DISTINCT k FROM top WHERE n > 1) w),
+             every AS (SELECT 0 AS part, g, k, pos, h FROM nodes UNION ALL SELECT 1, NULL, k, pos, h FROM top WHERE n > 1),
+             steps AS (SELECT w.doc_id, w.leaf, w.now, w.part, w.k, coalesce(string_agg(e.h, '' ORDER BY e.pos) FILTER (WHERE e.pos < w.at), '') AS l, coalesce(string_agg(e.h, '' ORDER BY e.pos) FILTER (WHERE e.pos > w.at), '') AS r
+                       FROM walk w JOIN every e ON e.part = w.part AND e.k = w.k AND e.pos // 8 = w.at // 8 AND (w.part = 1 OR e.g IS NOT DISTINCT FROM w.lang) GROUP BY ALL),
+             paths AS (SELECT doc_id, leaf, now, string_agg(l || r, '' ORDER BY part, k) AS sib, list({'l': l, 'r': r} ORDER BY part, k) AS p FROM steps GROUP BY ALL),
+             fold(doc_id, leaf, node, i, p) AS (
+                 SELECT p.doc_id, p.leaf, p.now, 0, coalesce(q.p, []) FROM placed p LEFT JOIN paths q ON q.doc_id IS NOT DISTINCT FROM p.doc_id AND q.leaf = p.leaf
+                 UNION ALL
+                 SELECT doc_id, leaf, sha256(p[i + 1].l || node || p[i + 1].r), i + 1, p FROM fold WHERE i < len(p))
+        SELECT p.doc_id, p.leaf, s.h AS subroot, t.h AS root, sha256(coalesce(q.sib, '')) AS proof_sha256, f.node AS folded_root, f.node = t.h AS verified
+        FROM placed p JOIN subs s ON s.g IS NOT DISTINCT FROM p.lang CROSS JOIN (SELECT h FROM top WHERE n = 1) t
+        LEFT JOIN paths q ON q.doc_id IS NOT DISTINCT FROM p.doc_id AND q.leaf = p.leaf
+        JOIN fold f ON f.doc_id IS NOT DISTINCT FROM p.doc_id AND f.leaf = p.leaf AND f.i = len(f.p)"""),
 }
