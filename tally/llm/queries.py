@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kneser_ney, merkle
+from . import kneser_ney, merkle, variants
 from .common import materialize
 from .exact_dedup import exact_dedup
 from .jaccard import jaccard_join
@@ -89,6 +89,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    word, doc = F.col("_word"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    h = F.crc32(F.concat(doc, F.lit(":"), word))
+    at = (h % F.char_length(word)).cast("int")
+    cut = F.when(h % 31 == 0, F.concat(F.substring(word, F.lit(1), at), F.substring(word, at + 2, F.char_length(word)))).otherwise(word)
+    words = variants.word_counts(docs_of(spark, sf_dir).select("doc_id", "text"), F.col("text"), 7, 2, cut)
+    return variants.spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scoring": op2_lm_scoring,
@@ -101,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_line_dedup": op10_line_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 #: The crc32 of a text, a framed value and a text with A-Z lower-cased, for SQL that has none of them: expressions over {0}.
@@ -167,4 +177,19 @@ ORACLE_SQL: dict[str, str] = {
         FROM placed p JOIN subs s ON s.g IS NOT DISTINCT FROM p.lang CROSS JOIN (SELECT h FROM top WHERE n = 1) t
         LEFT JOIN paths q ON q.doc_id IS NOT DISTINCT FROM p.doc_id AND q.leaf = p.leaf
         JOIN fold f ON f.doc_id IS NOT DISTINCT FROM p.doc_id AND f.leaf = p.leaf AND f.i = len(f.p)"""),
+    "op12_spelling_variants": _expanded(r"""
+        WITH RECURSIVE runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]{7,}')) AS r FROM documents),
+             o AS (SELECT id, ascii_lower(r) AS w, count(*) AS n FROM runs GROUP BY ALL),
+             hashed AS (SELECT w, n, crc(id || ':' || w) AS h FROM o),
+             changed AS (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM hashed),
+             words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+             cuts AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+             near AS (SELECT a.word, b.word AS near, b.n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+                      UNION SELECT c.word, w.word, w.n FROM cuts c JOIN words w ON w.word = c.rest
+                      UNION SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON w.word = c.rest),
+             ranked AS (SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY n DESC, encode(near)) AS k FROM near),
+             forms AS (SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.n >= 10 * w.n THEN r.near END AS form, CASE WHEN r.n >= 10 * w.n THEN r.n END AS form_n FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.k = 1),
+             chain(word, last) AS (SELECT word, word FROM words UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.last WHERE f.form IS NOT NULL),
+             roots AS (SELECT c.word, c.last FROM chain c JOIN forms f ON f.word = c.last WHERE f.form IS NULL)
+        SELECT f.word, f.form, r.last AS root, f.n, f.n_near, f.form_n FROM forms f JOIN roots r ON r.word = f.word"""),
 }
