@@ -19,6 +19,7 @@ from .packing import pack
 from .quality import classify_quality
 from .sharding import shard_by_bytes
 from .substring import substring_dedup
+from .token_counts import token_prefixes
 
 
 def docs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +99,13 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    counts = token_prefixes(docs_of(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scoring": op2_lm_scoring,
@@ -111,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_token_counts": op13_token_counts,
 }
 
 #: The crc32 of a text, a framed value and a text with A-Z lower-cased, for SQL that has none of them: expressions over {0}.
