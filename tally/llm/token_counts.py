@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import array
+import functools
 import itertools
 import operator
 import re
@@ -27,7 +28,7 @@ class PieceCounts(dict):
     piece of the vocabulary can reach across: before a space or run of spaces, and around a character that no longer piece holds.
     """
 
-    def __init__(self, model: str, most: int = 2_000_000):
+    def __init__(self, model: str, most: int = 5_000_000):
         import sentencepiece
 
         super().__init__()
@@ -131,9 +132,15 @@ class PieceCounts(dict):
         return out
 
 
+@functools.lru_cache(maxsize=1)
+def _piece_counts(model: str) -> PieceCounts:
+    """A worker's own, so that what one task has computed serves the next; its size is bounded."""
+    return PieceCounts(model)
+
+
 def _counted(model: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = PieceCounts(model)
+        counts = _piece_counts(model)
         for whole in batches:
             for batch in slices(iter([whole]), "_text"):
                 made = counts.changes(batch.column("_text").to_pylist())
