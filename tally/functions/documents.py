@@ -148,8 +148,11 @@ def unescaped(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else html.unescape(v))
 
 
+TITLE = r"(?i)<title[^>]*>([\s\S]*?)</title>"
+
+
 def page_title(page, limit: int = 120) -> Column:
-    return F.substring(collapse(F.regexp_extract(F.coalesce(_c(page), F.lit("")), r"(?i)<title[^>]*>([\s\S]*?)</title>", 1)), 1, limit)
+    return F.substring(collapse(F.regexp_extract(F.coalesce(_c(page), F.lit("")), TITLE, 1)), 1, limit)
 
 
 def visible_text(page, limit: int = 12_000) -> Column:
