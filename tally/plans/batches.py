@@ -107,7 +107,7 @@ def atomic_batches(spark: SparkSession, d: str) -> DataFrame:
 #: Each order is a save of its customer's catalogue in the context of its priority: what it lists are its lines by return flag.
 _SAVES = """l AS (SELECT l_orderkey, l_returnflag AS key, min(l_linestatus) AS name, count(*) AS n, sum(CAST(l_quantity AS BIGINT)) // 10 AS q FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1, 2),
          s AS (SELECT o_custkey AS source, substr(o_orderpriority, 1, 1) AS context, o_orderkey AS seq,
-                      (SELECT list({'key': key, 'name': name, 'n': n, 'q': q} ORDER BY key) FROM l WHERE l_orderkey = o_orderkey) AS plans FROM orders),
+                      (SELECT list({'key': key, 'name': name, 'n': CASE WHEN q > 0 THEN n END, 'q': q} ORDER BY key) FROM l WHERE l_orderkey = o_orderkey) AS plans FROM orders),
          h AS (SELECT *, CAST(plans AS VARCHAR) AS content, lead(seq) OVER (PARTITION BY source ORDER BY seq) AS next FROM s),
          v AS (SELECT source, context, content, min(seq) AS first_observed, max(seq) AS last_observed, count(*) AS saves, arg_max(coalesce(next, -1), seq) AS after FROM h GROUP BY ALL)"""
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tally.operators import cascades as K
 from tally.plans.batches import written
+from tally.sources import commits
 from tally.sources.commits import Conflict, TableSet
 
 
@@ -53,7 +54,7 @@ def test_a_writer_that_fails_changes_nothing(spark, store, monkeypatch, step):
     with monkeypatch.context() as m:
         m.setattr(writer, "parquet", parquet)
         if step == 2:
-            m.setattr(TableSet, "_publish", lambda *a: (_ for _ in ()).throw(OSError("disk gone")))
+            m.setattr(commits, "publish", lambda *a: (_ for _ in ()).throw(OSError("disk gone")))
         with pytest.raises(OSError):
             store.commit(replace={"a": rows(spark, "new", 2), "b": rows(spark, "new", 2)})
     assert store.snapshot().turn == before.turn and seen(store.snapshot()) == seen(before)
