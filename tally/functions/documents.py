@@ -305,6 +305,23 @@ def region_score() -> Column:
     return F.when(F.length("text") < 3, -100).otherwise(score - F.least(size, F.lit(20))).cast("int")
 
 
+# Fixed value: the attributes that count in a region's hash.
+HASHED_ATTRIBUTES = ["role", "aria-label", "aria-checked", "aria-selected", "itemprop", "itemtype"]
+
+
+def region_hashes(nodes: DataFrame, regions: DataFrame, id_col: str = "page_id") -> DataFrame:
+    """(page, n_nodes, region_hash): SHA-256 of the canonical JSON of a region's elements that have text, in document order.
+
+    Whether a region changed is told by tags, some attributes, texts and places in tables alone.
+    """
+    r = regions.select(F.col(id_col).alias("_p"), F.col("root").alias("_from"), F.col("end").alias("_to"))
+    inside = nodes.where("text <> ''").join(r, (F.col(id_col) == F.col("_p")) & F.col("node").between(F.col("_from"), F.col("_to")))
+    some = F.map_from_entries(F.array_sort(F.filter(F.map_entries("attributes"), lambda e: e["key"].isin(HASHED_ATTRIBUTES))))
+    cell = F.to_json(F.struct(some.alias("attributes"), "table_column", "table_row", "tag", "text"), {"ignoreNullFields": "false"})
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("node", cell.alias("json")))), lambda x: x["json"])
+    return inside.groupBy(id_col).agg(F.count("*").alias("n_nodes"), F.sha2(F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")), 256).alias("region_hash"))
+
+
 def pricing_regions(nodes: DataFrame, id_col: str = "page_id", least: int = 12) -> DataFrame:
     """The best container of each page: highest score, then shortest text, then first; from `least` on."""
     outside = nodes.where(F.col("tag").isin(REGION_OUTSIDE)).select(F.col(id_col).alias("_p"), F.col("node").alias("_from"), F.col("end").alias("_to"))

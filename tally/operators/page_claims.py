@@ -159,3 +159,19 @@ def claims(nodes: DataFrame, id_col: str = "page_id") -> DataFrame:
     claim("pricing_models", source, F.to_json(models), "normalized", when=F.size(models) > 0)
     every = found.join(best, id_col, "left").select(id_col, F.explode(F.filter(F.array(*made), lambda x: x.isNotNull())).alias("c"))
     return every.select(id_col, "c.*")
+
+
+def with_evidence(found: DataFrame, nodes: DataFrame, regions: DataFrame, id_col: str = "page_id") -> DataFrame:
+    """Adds what a claim rests on: the region's root, the element's text (1,500 characters at most), place in a table, a selector, and the
+    hash of element and quote.
+
+    found: claims; nodes: dom_nodes.  Only elements that a claim names are joined.
+    """
+    named = found.join(regions.select(F.col(id_col).alias("_p"), F.col("root").alias("container")), F.col(id_col) == F.col("_p")).drop("_p")
+    classes = F.filter(F.split(F.coalesce(F.try_element_at("attributes", F.lit("class")), F.lit("")), r"\s+"), lambda c: c != "")
+    ident = F.nullif(F.try_element_at("attributes", F.lit("id")), F.lit(""))
+    hint = F.concat(F.col("tag"), F.when(ident.isNotNull(), F.concat(F.lit("#"), ident)).otherwise(F.array_join(F.transform(F.slice(classes, 1, 2), lambda c: F.concat(F.lit("."), c)), "")))
+    at = nodes.select(F.col(id_col).alias("_p"), F.col("node").alias("_n"), F.substring("text", 1, 1500).alias("quote"), "table_row", "table_column", F.substring(hint, 1, 500).alias("selector"))
+    both = named.join(at, (F.col(id_col) == F.col("_p")) & (F.col("node") == F.col("_n"))).drop("_p", "_n")
+    said = F.to_json(F.struct(F.concat(F.lit("n"), F.lpad((F.col("node") + 1).cast("string"), 6, "0")).alias("node_id"), "quote"))
+    return both.withColumn("evidence_hash", F.sha2(said, 256))

@@ -1,5 +1,6 @@
 """Price claims on literal pages."""
 
+import hashlib
 import json
 
 from tally.functions import documents as H
@@ -32,3 +33,27 @@ def test_claims(spark):
     assert json.loads(one["pricing_models"][0]) == ["custom_quote", "hybrid", "subscription", "usage_based"]
     assert json.loads(got[2]["pricing_models"][0]) == ["per_seat", "subscription"]
     assert got[3]["starting_paid_price"][1:] == ("failed", "ambiguous_currency_symbol")
+
+
+def test_region_hashes(spark):
+    """Text, places and some attributes count; classes, ids and what lies outside the region don't."""
+    page = '<nav>{nav}</nav><main class="{cls}" role="{role}"><h1>Pricing plans billing</h1><table><tr><td>Pro</td><td>USD {n} per month</td></tr></table></main>'
+    rows = [(1, page.format(nav="a", cls="x", role="main", n=9)), (2, page.format(nav="b", cls="y", role="main", n=9)), (3, page.format(nav="a", cls="x", role="region", n=9)), (4, page.format(nav="a", cls="x", role="main", n=10)), (5, "<main>cats</main>")]
+    nodes = H.dom_nodes(spark.createDataFrame(rows, "page_id bigint, html string"))
+    regions = H.pricing_regions(nodes)
+    got = {r.page_id: (r.n_nodes, r.region_hash) for r in H.region_hashes(nodes, regions).collect()}
+    assert set(got) == {1, 2, 3, 4} and got[1] == got[2] and len({h for _, h in got.values()}) == 3
+    cells = [{"attributes": {"role": "main"}, "table_column": None, "table_row": None, "tag": "main", "text": "Pricing plans billing Pro USD 9 per month"}]
+    cells += [{"attributes": {}, "table_column": c, "table_row": r, "tag": t, "text": x} for t, r, c, x in (("h1", None, None, "Pricing plans billing"), ("table", None, None, "Pro USD 9 per month"), ("tr", 0, None, "Pro USD 9 per month"), ("td", 0, 0, "Pro"), ("td", 0, 1, "USD 9 per month"))]
+    assert got[1] == (6, hashlib.sha256(json.dumps(cells, ensure_ascii=False, separators=(",", ":")).encode()).hexdigest())
+
+
+def test_evidence(spark):
+    html = '<main><h1>Pricing plans billing</h1><table><tr><td>Pro</td><td class="a  b c">USD 9 "per" month</td></tr></table><p id="q">Contact sales</p></main>'
+    nodes = H.dom_nodes(spark.createDataFrame([(1, html)], "page_id bigint, html string"))
+    regions = H.pricing_regions(nodes)
+    got = {r.claim_type: r for r in PC.with_evidence(PC.claims(PC.region_nodes(nodes, regions)), nodes, regions).collect()}
+    quote = got["has_custom_quote"]
+    assert (quote.quote, quote.selector, quote.table_row, quote.container) == ("Contact sales", "p#q", None, 0)
+    assert quote.evidence_hash == hashlib.sha256(b'{"node_id":"n000007","quote":"Contact sales"}').hexdigest() and quote.node == 6
+    assert all(r.quote and r.evidence_hash for r in got.values())
