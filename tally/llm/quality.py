@@ -40,10 +40,17 @@ def _unpacked_keys(raw: bytes) -> np.ndarray:
     return _unpacked(raw, "<u8").cumsum(dtype=np.uint64)
 
 
+#: Rows of a file that form a block.
+BLOCK_ROWS = 8192
+
+
 def _blocks(docs: DataFrame) -> DataFrame:
-    """Adds _block: the part of a file that a row is read from, the same in every scan.  Rows that don't come
-    straight from files are written first."""
-    block = F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("_block")
+    """Adds _block: a run of rows of a file, named by the file as it is (path, size, time of change) and the run's place in it.
+
+    However a scan splits its files, a row is in the same block; a file that changes between two scans has other blocks, whose
+    answers are missing, and that raises.  Rows that don't come straight from Parquet files are written first.
+    """
+    block = F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time", F.floor(F.col("_metadata.row_index") / BLOCK_ROWS)).alias("_block")
     try:
         return docs.select(*docs.columns, block)
     except AnalysisException:
@@ -103,7 +110,7 @@ def _asked(model, seen, stutter: bool, parts: int, flush: int = 3_000_000):
 
 
 def _joined(model):
-    """A count shard merge-joined with the sorted bigrams that blocks ask of it."""
+    """A count shard joined with the sorted bigrams that blocks ask of it: each is looked up by binary search in the shard's mapped array."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         out = []
@@ -150,7 +157,7 @@ def _answers(folder: str, block: int):
 def score(docs: DataFrame, model: kneser_ney.Model, stutter: bool = True) -> DataFrame:
     """Adds n_tokens and score (log10 probability of the text) to the rows of docs; _text is left out.
 
-    The different bigrams of each block of documents are dealt out by count shard; a task merge-joins its
+    The different bigrams of each block of documents are dealt out by count shard; a task joins its mapped
     shard with the sorted bigrams of many blocks (a shard that many blocks ask is given to several tasks); what
     a block asked for comes back as one sorted array, by which a second scan of the block scores its
     texts.  So a bigram is shuffled once for each block, not for each token, and only if a bit filter of

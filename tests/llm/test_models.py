@@ -106,6 +106,30 @@ def test_count_joins_score_as_the_mapped_model(spark, tmp_path, stutter):
     assert {key(r) for r in again} == {key(r) for r in got}
 
 
+def test_blocks_survive_other_splits(spark, tmp_path, monkeypatch):
+    """Between the two scans files are split anew, and blocks are a few rows: scores are equal; a file that changes raises."""
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 7)
+    rows = [r for r in corpus(6, 80) if r[0] is not None]
+    path = str(tmp_path / "docs")
+    frame(spark, rows, False).coalesce(1).write.option("parquet.block.size", 4096).parquet(path)
+    docs = lambda: spark.read.parquet(path).select("doc_id", F.col("text").alias("_text"))
+    model = kneser_ney.train(docs().where("doc_id % 2 = 0"), "_text")
+    want = collections.Counter((r.doc_id, r.n_tokens, round(r.score, 9)) for r in quality.score(docs(), model).collect())
+    name, old = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for first, then in (("3k", "1g"), ("1g", "3k"), ("5k", "3k")):
+            spark.conf.set(name, first)
+            scored = quality.score(docs(), model)
+            spark.conf.set(name, then)
+            assert collections.Counter((r.doc_id, r.n_tokens, round(r.score, 9)) for r in scored.collect()) == want
+    finally:
+        spark.conf.set(name, old)
+    scored = quality.score(docs(), model)
+    frame(spark, rows[:40], False).coalesce(1).write.mode("overwrite").parquet(path)
+    with pytest.raises(Exception):  # noqa: B017
+        scored.collect()
+
+
 def test_a_missing_shard_raises(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         kneser_ney._map(str(tmp_path), "words-0", "<u8")
