@@ -173,6 +173,38 @@ def final_stage(status, by_model, page_status, by_browser) -> Column:
     return F.when(_c(by_browser) & (stage != "contact_sales"), F.concat(F.lit("browser_run_"), stage)).otherwise(stage)
 
 
+# Below this quality a page's text is worth rendering; below this confidence a better model is asked; what is left of
+# confidence where a check was needed and no model answered.
+RENDER_BELOW, LEAST_CONFIDENCE, UNCHECKED_CONFIDENCE = 8, 60, 55
+
+
+def should_render(review, http_status, html, page_status, strict, score, errors) -> Column:
+    """Whether a page should be rendered by a browser (H21): it was found, at a strict address, isn't approved, and its text is poor or no
+    plans were seen in it."""
+    poor = (_c(score) < RENDER_BELOW) | F.exists(_c(errors), lambda e: e.contains("No public pricing plans found"))
+    seen = (_c(http_status) == 200) & (F.coalesce(_c(html), F.lit("")) != "") & _c(page_status).isin("found", "not_found")
+    return F.coalesce((_c(review) != "approved") & seen & _c(strict) & poor, F.lit(False))
+
+
+def escalated(review, confidence, errors, page_status, needs_check, reasons, answers) -> Column:
+    """What models make of a page (H21): struct (status, confidence, errors, model, asked).
+
+    answers: array of (model, status, confidence, errors), the cheapest model first; a null status is an empty answer.  Models are asked in
+    turn until one approves with enough confidence; else the last that answered counts.  They are asked at all only for pages that were
+    found and that the rules don't approve or that need a check.  A check that nobody answered makes the page a matter for a person.
+    """
+    r, n, said = _c(review), _c(confidence), F.filter(_c(answers), lambda a: a["status"].isNotNull())
+    asks = F.coalesce(((r != "approved") | _c(needs_check)) & (F.size(_c(answers)) > 0) & (_c(page_status) == "found"), F.lit(False))
+    good = lambda a: F.coalesce((a["status"] == "approved") & (a["confidence"] >= LEAST_CONFIDENCE), F.lit(False))
+    first = F.get(F.filter(F.transform(_c(answers), lambda a, i: F.struct(good(a).alias("good"), (i + 1).alias("n"))), lambda x: x["good"]), F.lit(0))["n"]
+    final = F.coalesce(F.get(F.filter(said, good), F.lit(0)), F.try_element_at(said, F.lit(-1)))
+    out = lambda s, c, e, m: F.struct(s.alias("status"), c.cast("int").alias("confidence"), e.alias("errors"), m.alias("model"), F.when(asks, F.coalesce(first, F.size(_c(answers)))).otherwise(0).alias("asked"))
+    none = F.lit(None).cast("string")
+    unsure = F.concat(_c(errors), F.array(F.concat(F.lit("Rule extraction requires model verification: "), F.array_join(_c(reasons), ", "))))
+    by_rule = out(r, n, _c(errors), none)
+    return F.when(asks & final.isNotNull(), out(final["status"], final["confidence"], final["errors"], final["model"])).when(asks & _c(needs_check), out(F.lit("manual_review"), F.least(n, F.lit(UNCHECKED_CONFIDENCE)), unsure, none)).otherwise(by_rule)
+
+
 # -- names, assets, small payloads ------------------------------------------------------------------
 
 

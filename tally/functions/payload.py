@@ -75,3 +75,29 @@ def with_legacy_countries(parsed, legacy) -> Column:
     own = country_shares(parsed)
     old = F.filter(country_shares(legacy), lambda x: x["bps"].isNotNull())
     return F.when(F.coalesce(F.size(own), F.lit(0)) > 0, own).otherwise(F.coalesce(old, own))
+
+
+#: A provider's details of AI traffic; values are read as texts, so that one of another kind is null and not an error.
+AI_DETAILS = """TotalVisits string, ReferralTraffic string, Traffic struct<Distribution:struct<Boundary:string,Chatbots:array<struct<Name:string,Value:string>>,
+    Chart:array<struct<Name:string,History:array<struct<Date:string,Value:string>>>>>,Split:array<struct<Name:string,Rank:string>>>,
+    TopPrompts struct<Status:string,ErrorMessage:string,Prompts:array<string>>"""
+
+
+def ai_traffic(details) -> Column:
+    """AI traffic of a JSON object (F49): visits, referral share, boundary, sources, history, rankings, prompts; null if it isn't an object.
+
+    Sources need a name and a share, rankings a name, series a name and a point with a month and a share; blank texts are null, lists
+    that are missing empty.
+    """
+    d = F.from_json(_c(details), AI_DETAILS)
+    text = lambda x: F.nullif(F.trim(F.coalesce(x, F.lit(""))), F.lit(""))
+    spread, prompts = d["Traffic"]["Distribution"], d["TopPrompts"]
+    sources = F.transform(F.coalesce(spread["Chatbots"], F.array()), lambda x: F.struct(text(x["Name"]).alias("name"), to_number(x["Value"]).alias("share")))
+    rankings = F.transform(F.coalesce(d["Traffic"]["Split"], F.array()), lambda x: F.struct(text(x["Name"]).alias("name"), to_integer(x["Rank"]).alias("rank")))
+    said = F.struct(to_integer(prompts["Status"]).alias("status"), text(prompts["ErrorMessage"]).alias("error"), F.coalesce(F.size(prompts["Prompts"]), F.lit(0)).alias("count"))
+    made = F.struct(
+        to_number(d["TotalVisits"]).alias("total_visits"), to_number(d["ReferralTraffic"]).alias("referral_share"), text(spread["Boundary"]).alias("boundary"),
+        F.filter(sources, lambda x: x["name"].isNotNull() & x["share"].isNotNull()).alias("sources"), F.coalesce(ai_history(spread["Chart"]), ai_history(F.from_json(F.lit("[]"), "array<struct<Name:string,History:array<struct<Date:string,Value:string>>>>"))).alias("history"),
+        F.filter(rankings, lambda x: x["name"].isNotNull()).alias("rankings"), said.alias("top_prompts"),
+    )
+    return F.when(F.trim(_c(details)).startswith("{") & F.try_parse_json(_c(details)).isNotNull(), made)
