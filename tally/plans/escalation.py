@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tally.functions import offers as O
 from tally.functions import payload as P
+from tally.operators import assignments as A
 from tally.operators import state as ST
 from tally.plans.catalog import query
 from tally.sources.tables import table
@@ -79,3 +80,33 @@ def leaf_write_plans(spark: SparkSession, d: str) -> DataFrame:
     """Leaf and parent ids of each order's lines, of which most are known."""
     tree = table(spark, d, "nation").select(F.col("n_nationkey").alias("slug"), F.col("n_nationkey").alias("id"), (F.col("n_regionkey") + 100).alias("parent_id"))
     return ST.write_plan(table(spark, d, "lineitem").select("l_orderkey", (F.col("l_suppkey") % 27).alias("leaf")), tree, "l_orderkey", "leaf")
+
+
+_ASSIGNED = """old AS (SELECT o_custkey AS item, o_orderkey % 6 AS term_id, max(o_orderkey) AS run_id FROM orders GROUP BY 1, 2),
+         o AS (SELECT item, term_id, run_id, run_id % 2 = 0 AS is_primary, run_id % 10 / 10.0 AS confidence, CASE WHEN run_id % 3 = 0 THEN 'manual' ELSE 'auto' END AS source, CASE WHEN run_id % 4 = 0 THEN 'verified' ELSE 'provisional' END AS decision_status,
+                      CASE WHEN run_id % 5 <> 0 THEN run_id % 7 END AS reviewed_at, run_id % 11 AS updated_at, run_id % 11 AS assigned_at, 'e' || run_id AS evidence FROM old)"""
+
+
+@query(f"""
+    WITH {_ASSIGNED},
+         lock AS (SELECT item, term_id AS locked FROM o WHERE is_primary AND source = 'manual' AND decision_status = 'verified' AND term_id <= 3 QUALIFY row_number() OVER (PARTITION BY item ORDER BY reviewed_at DESC NULLS LAST, updated_at DESC, term_id DESC) = 1),
+         locks AS (SELECT * FROM lock WHERE locked > 0),
+         p AS (SELECT c_custkey AS item, t AS term_id, 1000000 + c_custkey AS run_id, t = c_custkey % 8 AS prim, (c_custkey + t) % 10 / 10.0 AS confidence, 'new' AS evidence FROM customer, range(8) r(t) WHERE (c_custkey + t) % 3 <> 0),
+         n AS (SELECT p.*, CASE WHEN prim AND locked IS NOT NULL THEN FALSE ELSE prim END AS is_primary,
+                      CASE WHEN prim AND locked IS NOT NULL THEN 'superseded' WHEN confidence >= 0.8 THEN 'auto_accepted' WHEN confidence >= 0.5 THEN 'provisional' ELSE 'unresolved' END AS status FROM p LEFT JOIN locks ON locks.item = p.item)
+    SELECT coalesce(o.item, n.item) AS item, coalesce(o.term_id, n.term_id) AS term_id, CASE WHEN k THEN o.run_id ELSE n.run_id END AS run_id, CASE WHEN k THEN o.is_primary ELSE n.is_primary END AS is_primary, CAST(CASE WHEN k THEN o.confidence ELSE n.confidence END AS DOUBLE) AS confidence,
+           CASE WHEN k THEN o.decision_status ELSE n.status END AS decision_status, CASE WHEN k THEN o.source ELSE 'auto' END AS source, CASE WHEN k THEN o.evidence ELSE n.evidence END AS evidence,
+           CASE WHEN k THEN o.assigned_at ELSE 99 END AS assigned_at, CASE WHEN n.item IS NOT NULL THEN 99 ELSE o.updated_at END AS updated_at
+    FROM (SELECT o.*, n.item AS hit FROM o LEFT JOIN n ON n.item = o.item AND n.term_id = o.term_id) o FULL JOIN n ON n.item = o.item AND n.term_id = o.term_id, LATERAL (SELECT coalesce(o.source = 'manual', FALSE) OR n.item IS NULL AS k)""")
+def assignment_writes(spark: SparkSession, d: str) -> DataFrame:
+    """Every customer's categories after a run (M27): a person's decisions stay, a verified primary keeps new ones from competing."""
+    old = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("item"), (F.col("o_orderkey") % 6).alias("term_id")).agg(F.max("o_orderkey").alias("run_id"))
+    r = F.col("run_id")
+    old = old.select(
+        "item", "term_id", "run_id", (r % 2 == 0).alias("is_primary"), ((r % 10) / 10).alias("confidence"), F.when(r % 3 == 0, "manual").otherwise("auto").alias("source"), F.when(r % 4 == 0, "verified").otherwise("provisional").alias("decision_status"),
+        F.when(r % 5 != 0, r % 7).alias("reviewed_at"), (r % 11).alias("updated_at"), (r % 11).alias("assigned_at"), F.concat(F.lit("e"), r.cast("string")).alias("evidence"),
+    )
+    terms = spark.range(6).select("id", F.when(F.col("id") <= 3, "primary_category").otherwise("capability").alias("dimension"))
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("item"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("t")).where("(item + t) % 3 <> 0")
+    proposed = c.select("item", F.col("t").cast("long").alias("term_id"), (F.lit(1000000) + F.col("item")).alias("run_id"), (F.col("t") == F.col("item") % 8).alias("primary"), ((F.col("item") + F.col("t")) % 10 / 10).alias("confidence"), F.lit("new").alias("evidence"), F.lit(99).cast("long").alias("at"))
+    return A.written_assignments(old, proposed, terms)
