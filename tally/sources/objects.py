@@ -18,6 +18,12 @@ from pyspark.sql.types import StructType
 INDEX = "object_key string, byte_size long, content_type string"
 
 
+def reached(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, and the path in it."""
+    path = path.rstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
 @dataclass
 class Written(WriterCommitMessage):
     index: str | None
@@ -32,20 +38,18 @@ class ObjectWriter(DataSourceArrowWriter):
     def __init__(self, path: str):
         self.path, self.job = path.rstrip("/"), uuid.uuid4().hex
 
-    def _store(self) -> tuple[fs.FileSystem, str]:
-        return fs.FileSystem.from_uri(self.path) if "://" in self.path or self.path.startswith("file:") else (fs.LocalFileSystem(), self.path)
-
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        store, root = self._store()
+        store, root = reached(self.path)
         aside = f"{root}/_staging/{self.job}/{uuid.uuid4().hex}"
-        store.create_dir(aside, recursive=True)
-        listed, folders = [], set()
+        listed, folders = {}, set()
         for batch in iterator:
             for key, body, kind in zip(*(batch.column(c).to_pylist() for c in ("object_key", "body", "content_type")), strict=True):
                 body = body or b""
                 if key is None or key.rsplit("/", 1)[-1] != hashlib.sha256(body).hexdigest() or ".." in key.split("/"):
                     raise ValueError(f"not the key of this body: {key}")
                 target = f"{root}/objects/{key}"
+                if not listed:
+                    store.create_dir(aside, recursive=True)
                 if store.get_file_info(target).type == fs.FileType.NotFound:
                     if (folder := target.rsplit("/", 1)[0]) not in folders:
                         store.create_dir(folder, recursive=True)
@@ -53,15 +57,15 @@ class ObjectWriter(DataSourceArrowWriter):
                     with store.open_output_stream(f"{aside}/body") as out:
                         out.write(body)
                     store.move(f"{aside}/body", target)
-                listed.append({"object_key": key, "byte_size": len(body), "content_type": kind})
+                listed[key] = {"object_key": key, "byte_size": len(body), "content_type": kind}
         if not listed:
             return Written(None, 0)
         with store.open_output_stream(f"{aside}/index") as out:
-            out.write("".join(json.dumps(x) + "\n" for x in listed).encode())
+            out.write("".join(json.dumps(x) + "\n" for x in listed.values()).encode())
         return Written(f"{aside}/index", len(listed))
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        store, root = self._store()
+        store, root = reached(self.path)
         store.create_dir(f"{root}/index", recursive=True)
         for m in messages:
             if m is not None and m.index is not None:
@@ -73,8 +77,8 @@ class ObjectWriter(DataSourceArrowWriter):
         self._clear()
 
     def _clear(self) -> None:
-        """Lists of attempts that failed go with the job's folder."""
-        store, root = self._store()
+        """Lists of attempts that failed go with the job's folder; what a task still writes after an abort stays there, and nothing reads it."""
+        store, root = reached(self.path)
         if store.get_file_info(f"{root}/_staging/{self.job}").type != fs.FileType.NotFound:
             store.delete_dir(f"{root}/_staging/{self.job}")
 
@@ -98,14 +102,11 @@ class ObjectSink(DataSource):
 
 
 def put(objects: DataFrame, path: str) -> None:
-    """Puts rows (object_key, body, content_type), each key once: copies of a key are dropped before bodies reach Python, keys that the
-    index names before any body is shuffled."""
+    """Puts rows (object_key, body, content_type): each key once, however often it comes.  Bodies aren't shuffled: whether an object
+    is there is asked of the store."""
     spark = objects.sparkSession
     spark.dataSource.register(ObjectSink)
-    rows = objects.select("object_key", F.col("body").cast("binary").alias("body"), "content_type")
-    rows = rows.join(index(spark, path).select("object_key").distinct(), "object_key", "left_anti")
-    once = rows.groupBy("object_key").agg(F.any_value("body").alias("body"), F.any_value("content_type").alias("content_type"))
-    once.write.format("objects").mode("append").save(path)
+    objects.select("object_key", F.col("body").cast("binary").alias("body"), "content_type").write.format("objects").mode("append").save(path)
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
@@ -117,8 +118,18 @@ def index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame:
-    """All objects with their bodies: object_key, body."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path.rstrip('/')}/objects")
-    bodies = files.select(F.substring_index("path", "/objects/", -1).alias("object_key"), F.col("content").alias("body"))
-    # Scans pass over files of no bytes; the index knows them.
-    return bodies.where(F.octet_length("body") > 0).unionByName(index(spark, path).where("byte_size = 0").select("object_key", F.lit(b"").alias("body")))
+    """The objects of the index with their bodies: object_key, body.  Tasks read them by their keys, so that no folder is listed and
+    many small objects are one task's work."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = reached(path)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                keys = batch.column("object_key").slice(start, 64)
+                bodies = []
+                for key in keys.to_pylist():
+                    with store.open_input_stream(f"{root}/objects/{key}") as f:
+                        bodies.append(f.read())
+                yield pa.RecordBatch.from_arrays([keys, pa.array(bodies, pa.binary())], names=["object_key", "body"])
+
+    return index(spark, path).select("object_key").mapInArrow(read, "object_key string, body binary")

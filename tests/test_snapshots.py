@@ -125,7 +125,7 @@ import os, sys
 from pyspark.sql import SparkSession, functions as F
 from tally.sources import objects as OB
 spark = SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").getOrCreate()
-real, mark = OB.ObjectWriter._store, sys.argv[1] + "/died"
+mark = sys.argv[1] + "/died"
 df = spark.range(40).select(F.encode(F.concat(F.lit("body "), (F.col("id") % 20).cast("string")), "UTF-8").alias("body"))
 df = df.select(F.concat(F.lit("k/"), F.sha2("body", 256)).alias("object_key"), "body", F.lit("x").alias("content_type"))
 def die(it):
