@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tally.functions import addresses as AD
 from tally.functions import offers as O
 from tally.functions.answers import CANDIDATE, FIELDS, PATHS, unwrapped
+from tally.operators import extractions as EX
 from tally.operators import registries as G
 from tally.operators import writes as W
 from tally.plans.catalog import query
@@ -114,3 +116,42 @@ def domain_observations(spark: SparkSession, d: str) -> DataFrame:
     g = F.regexp_extract("domain", r"^shop(\d+)\.", 1).cast("long")
     ratings = births.select("domain", F.when(g % 2 == 0, (g % 130 - 10).cast("double")).alias("rating"))
     return W.combined(ratings, births, ["domain"]).select("domain", "rating", "born", "status")
+
+
+@query("""
+    WITH p AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) AS origin, regexp_replace(url, '[?#].*$', '') AS bare, page_id % 7 AS s FROM pages)
+    SELECT page_id, CASE s WHEN 0 THEN origin || '/touch.png' WHEN 1 THEN regexp_replace(bare, '[^/]*$', '') || 'img/i.png?v=' || page_id WHEN 2 THEN 'https://cdn.test/x.svg' WHEN 3 THEN regexp_extract(origin, '^([a-z]+):', 1) || '://static.test/i.ico' WHEN 4 THEN origin || '/a/c.ico' ELSE origin || '/favicon.ico' END AS icon, s < 5 AS named,
+           s <> 6 AND page_id % 5 <> 0 AND page_id % 11 <> 0 AS kept FROM p""")
+def page_icons(spark: SparkSession, d: str) -> DataFrame:
+    """Where every page's icon lies (H17) and whether what was fetched from there is kept."""
+    k = F.col("page_id")
+    tags = [
+        '<link rel="icon" href="/i.png"><link rel=\'Apple-Touch-Icon\' href=\'/touch.png\'>', '<link href="" rel="icon"><LINK rel="shortcut icon" href="img/i.png?v={k}">', "<link rel=icon href=https://cdn.test/x.svg>",
+        '<link rel="icon" href=" //static.test/i.ico ">', '<link rel="icon" href="/a/b/.././c.ico">', '<link rel="stylesheet" href="/s.css">', "",
+    ]
+    tag = F.replace(F.get(F.array(*map(F.lit, tags)), (k % 7).cast("int")), F.lit("{k}"), k.cast("string"))
+    html = F.regexp_replace("html", "<head>", F.concat(F.lit("<head>"), F.regexp_replace(tag, r"([\\$])", r"\\$1")))
+    p = table(spark, d, "pages").select("page_id", "url", html.alias("html"))
+    body = F.when(k % 7 == 6, F.lit("")).otherwise(F.substring("html", 1, 50)).cast("binary")
+    kept = AD.keeps_icon(F.when(k % 5 == 0, 404).otherwise(200), F.when(k % 11 == 0, "1048577").otherwise("x"), body)
+    return p.select("page_id", AD.icon_or_usual("html", "url").alias("icon"), AD.icon_address("html", "url").isNotNull().alias("named"), kept.alias("kept"))
+
+
+@query("""
+    WITH a AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS i, l_partkey % 6 AS s, 'u' || l_linenumber AS url, CASE WHEN l_suppkey % 3 > 0 THEN 'm' || l_suppkey % 3 END AS model, l_suppkey AS v FROM lineitem),
+         f AS (SELECT k, min(CASE WHEN s IN (0, 1) THEN i END) AS first FROM a GROUP BY 1),
+         e AS (SELECT a.k, string_agg(CASE WHEN s = 5 THEN url || ': timeout' ELSE url || '/' || coalesce(model, 'default') || ': empty_schema_result' END, ' | ' ORDER BY i) AS errors, bool_or(s <> 5 OR v % 2 = 0) AS again FROM a JOIN f USING (k) WHERE s NOT IN (0, 1) AND (first IS NULL OR i < first) GROUP BY 1)
+    SELECT f.k, a.url, a.model, CASE a.s WHEN 0 THEN '{"category_l1":"c' || v || '","key_features":["x"]}' WHEN 1 THEN '{"category_l1":"d' || v || '","key_features":[]}' END AS answer, coalesce(e.errors, '') AS errors, CASE WHEN first IS NULL THEN again END AS retryable
+    FROM f LEFT JOIN a ON a.k = f.k AND a.i = f.first LEFT JOIN e ON e.k = f.k""")
+def first_extractions(spark: SparkSession, d: str) -> DataFrame:
+    """The first attempt of each order's lines whose answer has the fields that were asked for (S17), and what went wrong before."""
+    v = F.col("l_suppkey").cast("string")
+    shape = (F.col("l_partkey") % 6).cast("int")
+    payloads = ['{"category_l1":"c{v}","key_features":["x"]}', '{"choices":[{"message":{"content":"{\\"category_l1\\":\\"d{v}\\",\\"key_features\\":[]}"}}]}', '{"category_l1":" ","key_features":["x"]}', '{"category_l1":"only"}', "no json {v}", '{"category_l1":"late","key_features":[]}']
+    payload = F.replace(F.get(F.array(*map(F.lit, payloads)), shape), F.lit("{v}"), v)
+    a = table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("k"), "l_linenumber", "l_partkey", "l_suppkey", F.concat(F.lit("u"), F.col("l_linenumber").cast("string")).alias("url"), F.when(F.col("l_suppkey") % 3 > 0, F.concat(F.lit("m"), (F.col("l_suppkey") % 3).cast("string"))).alias("model"),
+        payload.alias("payload"), F.when(shape == 5, "timeout").alias("error"), F.when(shape == 5, F.col("l_suppkey") % 2 == 0).alias("retryable"),
+    )
+    out = EX.first_extraction(a, ["k"], ["l_linenumber", "l_partkey", "l_suppkey"], ["category_l1", "key_features"], ["key_features"], True)
+    return out.withColumn("errors", F.array_join("errors", " | "))
