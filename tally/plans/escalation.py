@@ -9,7 +9,9 @@ from tally.functions import offers as O
 from tally.functions import payload as P
 from tally.operators import assignments as A
 from tally.operators import state as ST
+from tally.plans.batches import shared_folder
 from tally.plans.catalog import query
+from tally.sources import settings as SE
 from tally.sources.tables import table
 
 
@@ -110,3 +112,15 @@ def assignment_writes(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("item"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("t")).where("(item + t) % 3 <> 0")
     proposed = c.select("item", F.col("t").cast("long").alias("term_id"), (F.lit(1000000) + F.col("item")).alias("run_id"), (F.col("t") == F.col("item") % 8).alias("primary"), ((F.col("item") + F.col("t")) % 10 / 10).alias("confidence"), F.lit("new").alias("evidence"), F.lit(99).cast("long").alias("at"))
     return A.written_assignments(old, proposed, terms)
+
+
+@query("""
+    SELECT CASE event_type WHEN 'error' THEN 'error' ELSE 'info' END AS level, '{"level":"' || CASE event_type WHEN 'error' THEN 'error' ELSE 'info' END || '","message":"events.' || event_type || '","event":' || event_id || CASE WHEN event_id % 3 = 0 THEN '' ELSE ',"note":"user \\"' || user_id || '\\""' END || '}' AS value FROM events""")
+def event_log(spark: SparkSession, d: str) -> DataFrame:
+    """Every event as a line of a JSON log, written in two runs and read back."""
+    e, path = table(spark, d, "events"), shared_folder(spark, "log")
+    note = F.when(F.col("event_id") % 3 != 0, F.concat(F.lit('user "'), F.col("user_id").cast("string"), F.lit('"')))
+    for half in (0, 1):
+        part = e.where(F.col("event_id") % 2 == half)
+        SE.write_log(SE.log_lines(part, F.col("event_type"), F.concat(F.lit("events."), F.col("event_type")), {"event": F.col("event_id"), "note": note}), path)
+    return SE.read_log(spark, path)
