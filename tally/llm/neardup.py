@@ -365,7 +365,8 @@ def _brute(shared, cosine: float):
 def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9, radius: float = 0.15, rows_each: int = 1500, degree: int = 16, alpha: float = 1.2, overlap: int = 3, audit: int = 256, least_recall: float = 0.95) -> DataFrame:
     """Links vectors with a cosine of at least `cosine`, in double precision.
 
-    1. Clusters come from k-means on a bounded sample; a cluster with too many rows is salted.
+    1. Clusters come from k-means on a bounded sample; a cluster with too many rows is split by
+       direction, and what is still too large, such as many equal vectors, by a hash.
     2. In each shard, vectors within `radius` of a dense centre form a ball.  Twice the radius is less
        than the angle of `cosine`, so a ball's vectors all link with each other without being
        compared, and a hot group is a few balls.
