@@ -174,3 +174,57 @@ def test_write_plan_of_a_hot_item(spark):
     plan = write_plan(rows, tree, "item", "leaf")
     assert {r.item: (r.ids, r.invalid) for r in plan.collect()} == {"hot": ([1, 2, 3], False), "i0": ([1], False), "i1": ([], True)}
     assert "collect_list" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+IDENTITY = "block string, {}, name string, names array<string>, audience string, billing string, position int, card array<string>, anchor array<string>, price array<string>"
+
+
+def _identities(spark, monkeypatch):
+    """Rows of few kinds, so that classes hold many members, and rows of ids, nulls and empty texts; the pairs by brute force."""
+    import random
+
+    monkeypatch.setattr(C, "CLASS_ROW", 4)
+    monkeypatch.setattr(C, "DEAL", 8)
+    rng = random.Random(5)
+    some = lambda *x: rng.choice([None, [], *[list(v) for v in x]])
+    make = lambda i: {"block": rng.choice(["x", "x", "y", None]), "i": i, "name": rng.choice(["a", "b", "", None]), "audience": rng.choice(["t", "", None]), "billing": "m", "position": rng.choice([1, 2, None]), "card": some("ab", "bc"), "anchor": some("pq"), "price": rng.choice([["9", None], None])}
+    mine = [make(i) | {"sid": rng.choice([None, "", "k1", "k2"])} for i in range(60)]
+    theirs = [make(i) | {"sids": rng.choice([None, [], ["k1", None], ["k2", ""]])} for i in range(100, 150)]
+    cells = lambda r: (r["name"], [r["name"]], r["audience"], r["billing"], r["position"], r["card"], r["anchor"], r["price"])
+    a = spark.createDataFrame([(r["block"], r["i"], r["sid"], *cells(r)) for r in mine], IDENTITY.format("candidate long, structured_id string")).drop("names")
+    b = spark.createDataFrame([(r["block"], r["i"], r["sids"], *cells(r)) for r in theirs], IDENTITY.format("subject long, structured_ids array<string>")).drop("name")
+    want = {}
+    for x in mine:
+        for y in theirs:
+            if x["block"] is None or x["block"] != y["block"]:
+                continue
+            same = bool(x["sid"]) and x["sid"] in (y["sids"] or [])
+            name = bool(x["name"]) and x["name"] == y["name"]
+            score, met = 0.38 * name + 0.10 * (bool(x["audience"]) and x["audience"] == y["audience"]) + 0.12, name
+            if x["position"] is not None and y["position"] is not None:
+                score += 0.04 if x["position"] == y["position"] else 0.02
+            for n, w in (("card", 0.24), ("anchor", 0.12), ("price", 0.16)):
+                p, q = x[n] or [], y[n] or []
+                both = len((set(p) & set(q)) - {None})
+                met, score = met or both > 0, score + (w * both / (len(p) + len(q) - both) if both else 0)
+            if same or met:
+                want[x["i"], y["i"]] = 1.0 if same else min(1.0, score)
+    return a, b, want
+
+
+def test_identity_pairs_by_classes(spark, monkeypatch):
+    a, b, want = _identities(spark, monkeypatch)
+    scored = C.identity_scores(a, b, ["block"])
+    got = {(r.candidate, r.subject): r.score for r in scored.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - v) < 1e-9 for k, v in want.items())
+    plan = scored._jdf.queryExecution().executedPlan().toString().split("Join")[0]
+    assert "Exchange" not in plan and "Aggregate" not in plan  # no pair is shuffled
+
+
+def test_identity_shortlist_decides_alike(spark, monkeypatch):
+    a, b, want = _identities(spark, monkeypatch)
+    few = C.identity_shortlist(a, b, ["block"])
+    assert max(r["count"] for r in few.groupBy("candidate").count().collect()) <= 4
+    rows = lambda df: {r.candidate: (r.subject, round(r.best, 9), r.status) for r in C.resolve_identity(df, 0.5, 0.05, a).collect()}
+    every = spark.createDataFrame([(i, j, s) for (i, j), s in want.items()], "candidate long, subject long, score double")
+    assert rows(few) == rows(every)
