@@ -303,11 +303,14 @@ def latest_taxonomy_version(spark: SparkSession, d: str) -> DataFrame:
     SELECT candidate, arg_max(subject, (CAST(i AS DOUBLE) / u, -subject)) AS subject, round(max(CAST(i AS DOUBLE) / u), 6) AS similarity FROM c GROUP BY 1""")
 def identity_jaccard(spark: SparkSession, d: str) -> DataFrame:
     """The most similar known part of a part, compared within brand, type and size."""
-    t = table(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_size", F.array_distinct(F.split(F.lower("p_name"), " ")).alias("s"))
+    block = ["p_brand", "p_type", "p_size"]
+    t = table(spark, d, "part").select("p_partkey", *block, F.array_distinct(F.split(F.lower("p_name"), " ")).alias("s"))
+    # Parts with the same words are compared once; of known ones the smallest stands for all.
+    known = t.where("p_partkey % 2 = 1").groupBy(*block, F.col("s").alias("sb")).agg(F.min("p_partkey").alias("subject"))
     a = t.where("p_partkey % 2 = 0").withColumnsRenamed({"p_partkey": "candidate", "s": "sa"})
-    b = t.where("p_partkey % 2 = 1").withColumnsRenamed({"p_partkey": "subject", "s": "sb"})
-    pairs = a.join(b, ["p_brand", "p_type", "p_size"]).select("candidate", "subject", R.jaccard("sa", "sb").alias("j"))
-    return pairs.groupBy("candidate").agg(F.max_by("subject", F.struct(F.col("j"), -F.col("subject"))).alias("subject"), F.round(F.max("j"), 6).alias("similarity"))
+    pairs = a.select(*block, "sa").distinct().join(known, block).select(*block, "sa", "subject", R.jaccard("sa", "sb").alias("j"))
+    best = pairs.groupBy(*block, "sa").agg(F.max_by("subject", F.struct(F.col("j"), -F.col("subject"))).alias("subject"), F.round(F.max("j"), 6).alias("similarity"))
+    return a.join(best, [*block, "sa"]).select("candidate", "subject", "similarity")
 
 
 @query("""
@@ -323,7 +326,7 @@ def identity_resolution(spark: SparkSession, d: str) -> DataFrame:
     a = t.where("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "candidate").withColumn("structured_id", F.lit(""))
     b = t.where("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "subject").withColumn("structured_ids", none).withColumn("names", F.array("name")).drop("name")
     block = ["p_brand", "p_type"]
-    scored = C.identity_scores(a, b, block)
+    scored = C.identity_shortlist(a, b, block)
     compared = a.join(b.select(*block).distinct(), block, "left_semi")
     return C.resolve_identity(scored, 0.3, 0.02, compared).withColumn("best", F.round("best", 6))
 
