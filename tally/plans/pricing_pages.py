@@ -235,8 +235,9 @@ def claim_evidence(spark: SparkSession, d: str) -> DataFrame:
     quotes = ["A  Free plan", "14-day free trial", "No credit card required", "Call me", "$1 per query, 2 EUR or 3 GBP", "Starting at usd 9 monthly", "9 / month per seat", "5 gb included", "sunny"]
     pick = lambda x, i: F.get(F.array(*map(F.lit, x)), i.cast("int"))
     claims = o.select(F.col("o_custkey").alias("page_id"), F.col("o_orderkey").alias("claim_id"), pick(kinds, k).alias("claim_type"), pick(raws, k).alias("raw"), F.when(F.col("o_orderkey") % 2 == 0, "normalized").otherwise("failed").alias("normalization_status"))
-    node = F.col("o_orderkey").cast("int")
-    nodes = o.where(e != 1).select(F.col("o_custkey").alias("page_id"), F.when(e == 2, node + 1_000_000).otherwise(node).alias("node"), F.when(e == 3, "other words").otherwise(F.concat(F.lit("x "), F.regexp_replace(F.upper(pick(quotes, k)), " +", "  "))).alias("text"))
-    said = o.where(e != 0).select(F.col("o_custkey").alias("page_id"), F.col("o_orderkey").alias("claim_id"), F.lit(0).alias("place"), F.when(e == 2, node + 1_000_000).otherwise(node).alias("node"), F.lit(0).alias("container"), pick(quotes, k).alias("quote"))
-    regions = o.select(F.col("o_custkey").alias("page_id")).distinct().select("page_id", F.lit(0).alias("root"), F.lit(999_999).alias("end"))
+    node = F.col("o_orderkey").cast("long")
+    away = F.when(e == 2, -1 - node).otherwise(node)  # before the region, however large the keys get
+    nodes = o.where(e != 1).select(F.col("o_custkey").alias("page_id"), away.alias("node"), F.when(e == 3, "other words").otherwise(F.concat(F.lit("x "), F.regexp_replace(F.upper(pick(quotes, k)), " +", "  "))).alias("text"))
+    said = o.where(e != 0).select(F.col("o_custkey").alias("page_id"), F.col("o_orderkey").alias("claim_id"), F.lit(0).alias("place"), away.alias("node"), F.lit(0).alias("container"), pick(quotes, k).alias("quote"))
+    regions = o.select(F.col("o_custkey").alias("page_id")).distinct().select("page_id", F.lit(0).alias("root"), F.lit((1 << 63) - 1).alias("end"))
     return V.validate(claims, said, nodes, regions)

@@ -46,3 +46,17 @@ def test_query(spark, duck, name):
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_claim_evidence_of_large_keys(spark, tmp_path):
+    """Orders beyond a million, and beyond 32 bits, keep their verdicts."""
+    from pyspark.sql import functions as F
+
+    from tally.plans.catalog import QUERIES
+
+    step = 63 * 2 * 10**8  # keeps the remainders by 9, 7 and 2
+    orders = spark.range(126).select(F.col("id").alias("o_orderkey"), (F.col("id") % 5).alias("o_custkey"))
+    for name, add in (("small", 0), ("large", step)):
+        orders.withColumn("o_orderkey", F.col("o_orderkey") + add).write.parquet(f"{tmp_path}/{name}/orders.parquet")
+    small, large = ({(r.page_id, r.claim_id - add): (r.status, r.confidence, r.reason) for r in QUERIES["claim_evidence"](spark, f"{tmp_path}/{name}").collect()} for name, add in (("small", 0), ("large", step)))
+    assert small == large and len({v[2] for v in small.values()}) == 8
