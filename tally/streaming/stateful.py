@@ -31,6 +31,15 @@ def _ms(at: dt.datetime) -> int:
     return round(at.timestamp() * 1000)
 
 
+def _move_timer(handle: StatefulProcessorHandle, old: int, new: int) -> None:
+    """A key has one timer at most, whose time its state knows (0: none)."""
+    if old != new:
+        if old:
+            handle.deleteTimer(old)
+        if new:
+            handle.registerTimer(new)
+
+
 class Retrying(StatefulProcessor):
     """Attempts of a key: waits after a failure, asks for a retry when the wait is over, gives up at `most`."""
 
@@ -41,12 +50,10 @@ class Retrying(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("attempts", "attempts long, due long, dead boolean, error string")
 
-    def _quiet(self) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        attempts, due, dead, error = self.state.get() if self.state.exists() else (0, 0, False, None)
+        held = self.state.get()  # each call on state or timers is a round trip: one to read, one to write
+        attempts, due, dead, error = held or (0, 0, False, None)
+        timer = due
         out = []
         for r in sorted(rows, key=lambda r: (_ms(r.at), r.outcome)):
             if dead:
@@ -54,27 +61,26 @@ class Retrying(StatefulProcessor):
             now = _ms(r.at)
             if r.outcome == "ok":
                 attempts, due, error = 0, 0, None
-                self._quiet()
                 out.append((key[0], "done", attempts, now, None))
                 continue
             attempts, error = attempts + 1, r.error
-            self._quiet()
             if r.outcome == "fatal" or attempts >= self.most:
                 dead, due = True, 0
                 out.append((key[0], "dead", attempts, now, error))
             else:
                 due = now + 1000 * min(self.longest, self.first * 2 ** (attempts - 1))
-                self.handle.registerTimer(due)
                 out.append((key[0], "waiting", attempts, due, error))
+        _move_timer(self.handle, timer, due)
         if attempts or dead:
-            self.state.update((attempts, due, dead, error))
-        elif self.state.exists():
+            if (attempts, due, dead, error) != held:
+                self.state.update((attempts, due, dead, error))
+        elif held:
             self.state.clear()  # nothing is held of keys that are done
         for k, action, n, ms, said in out:
             yield Row(key=k, action=action, attempts=n, at=_local(ms), error=said)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        attempts, due, _, error = self.state.get() if self.state.exists() else (0, 0, False, None)
+        attempts, due, _, error = self.state.get() or (0, 0, False, None)
         if attempts and due == expiredTimerInfo.getExpiryTimeInMs():
             yield Row(key=key[0], action="retry", attempts=attempts, at=_local(due), error=error)
 
@@ -107,45 +113,38 @@ class Gathering(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.parts = handle.getMapState("parts", "part long", "payload string")
-        self.fate = handle.getValueState("fate", "action string, parts long, since long")
-
-    def _end(self, action: str, n: int, since: int) -> None:
-        self.fate.update((action, n, since))
-        self.parts.clear()
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
+        self.state = handle.getValueState("group", "action string, parts long, since long, due long, places array<long>, payloads array<string>")
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        action, n, since = self.fate.get() if self.fate.exists() else ("open", 0, 0)
-        last = since
+        before = self.state.get()  # all of a group is one value: each call on state or timers is a round trip
+        action, n, since, due, places, payloads = before or ("open", 0, 0, 0, [], [])
+        if action != "open":
+            return  # the group has passed, or was given up
+        held, last = dict(zip(places, payloads, strict=True)), since
         for r in rows:
-            if action != "open":
-                continue  # the group has passed, or was given up
             n = max(n, r.parts)
             last = max(last, _ms(r.at))
             if n > self.most:
-                self._end("refused", n, last)
                 action = "refused"
-                yield Row(key=key[0], action=action, parts=n, payload=None, at=_local(last))
-            elif 0 <= r.part < r.parts:
-                self.parts.updateValue((r.part,), (r.payload,))
-        if action != "open":
+                break
+            if 0 <= r.part < r.parts:
+                held[r.part] = r.payload
+        if action == "open" and len(held) == n > 0:
+            action = "whole"
+        if action == "open":
+            after = last + 1000 * self.patience
+            _move_timer(self.handle, due, after)
+            self.state.update(("open", n, last, after, list(held), list(held.values())))
             return
-        held = {k[0]: v[0] for k, v in self.parts.iterator()}
-        if len(held) == n > 0:
-            self._end("whole", n, last)
-            yield Row(key=key[0], action="whole", parts=n, payload=[held[i] for i in sorted(held)], at=_local(last))
-        else:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(last + 1000 * self.patience)
-            self.fate.update(("open", n, last))
+        _move_timer(self.handle, due, 0)
+        self.state.update((action, n, last, 0, [], []))
+        payload = [held[i] for i in sorted(held)] if action == "whole" else None
+        yield Row(key=key[0], action=action, parts=n, payload=payload, at=_local(last))
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        action, n, since = self.fate.get()
+        action, n, since, _, _, _ = self.state.get()
         if action == "open":
-            self._end("incomplete", n, since)
+            self.state.update(("incomplete", n, since, 0, [], []))
             yield Row(key=key[0], action="incomplete", parts=n, payload=None, at=_local(since))
 
     def close(self) -> None:

@@ -182,3 +182,45 @@ def test_page_state_writes(spark):
     df = spark.createDataFrame([(1, 2, "captcha", "text", "e" * 600), (2, 2, "ok", None, None)], "k int, generation int, state string, reason string, evidence string")
     got = U.page_state_writes(df, ["k"], ["generation"], F.lit("now")).collect()
     assert (got[0].page_state, len(got[0].page_state_reason), got[0].page_state_reason[:6], got[1].page_state_reason, got[0].updated_at) == ("captcha", 500, "text:e", ":", "now")
+
+
+class Calls:
+    """A handle that counts what would be round trips."""
+
+    def __init__(self):
+        self.value, self.timers, self.n = None, [], 0
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def get(self):
+        self.n += 1
+        return self.value
+
+    def update(self, value):
+        self.n, self.value = self.n + 1, value
+
+    def registerTimer(self, at):  # noqa: N802
+        self.n += 1
+        self.timers.append(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.n += 1
+        self.timers.remove(at)
+
+
+def test_state_costs_few_round_trips():
+    """However many rows a key has in a micro-batch: one read, one write, one timer set, one deleted."""
+    from pyspark.sql import Row
+
+    at = lambda s: START + dt.timedelta(seconds=s)
+    calls, p = Calls(), W.Retrying(60, 600, 50)
+    p.init(calls)
+    for lot in (range(20), range(20, 40)):
+        assert len(list(p.handleInputRows(("k",), iter([Row(at=at(s), outcome="failed", error="x") for s in lot]), None))) == 20
+    assert calls.n <= 7 and len(calls.timers) == 1 and calls.value[:2] == (40, calls.timers[0])
+    calls, g = Calls(), W.Gathering(32, 60)
+    g.init(calls)
+    assert list(g.handleInputRows(("k",), iter([Row(part=i, parts=20, payload=None if i == 3 else str(i), at=at(i)) for i in range(0, 20, 2)]), None)) == [] and len(calls.timers) == 1
+    whole = list(g.handleInputRows(("k",), iter([Row(part=i, parts=20, payload=str(i), at=at(i)) for i in range(1, 20, 2)]), None))
+    assert [(r.action, r.payload) for r in whole] == [("whole", [str(i) for i in range(20)])] and calls.timers == [] and calls.n <= 6
