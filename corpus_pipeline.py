@@ -63,8 +63,12 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 1024 tokens; null texts hold their end only."""
-    return pack(docs, *tokenizer())
+    """Pieces of documents in sequences of at most 1024 tokens; null texts hold their end only.
+
+    Each file of the mixture is a lot: its documents are packed among themselves, and sequences ascend with the slots.
+    """
+    file = F.nullif(F.regexp_extract(F.input_file_name(), r"part-(\d+)[^/]*$", 1), F.lit(""))
+    return pack(docs, *tokenizer(), lot=file.cast("int"))
 
 
 STAGES = [

@@ -16,7 +16,7 @@ import pyarrow as pa
 import tiktoken
 import tokenizers
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -61,7 +61,7 @@ def _tokenize(ranks_path: str, pattern: str):
         tokens = Tokens(ranks_path, pattern)
         for batch, texts in texts_in(batches, "_text"):
             ids = [tokens.of((t or b"").decode("utf-8", "replace")) + b"\0\0" for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(ids, pa.binary())], names=["_id", "_ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(ids, pa.binary()), batch.column("_lot")], names=["_id", "_ids", "_lot"])
 
     return run
 
@@ -95,7 +95,7 @@ def _keys(idf: np.ndarray, mean: float):
                 w = _bm25(len(a), c, idf[t], mean)
                 top = t[np.lexsort((t, -w))[:4]].tolist() + [0] * 4
                 keys.append((top[0] << 48 | top[1] << 32 | top[2] << 16 | top[3]) - (1 << 63))
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_ids"), pa.array(keys, pa.int64())], names=["_id", "_ids", "_key"])
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_ids"), batch.column("_lot"), pa.array(keys, pa.int64())], names=["_id", "_ids", "_lot", "_key"])
 
     return run
 
@@ -207,9 +207,13 @@ def _pack(idf: np.ndarray, mean: float, window: int, shard_docs: int, shard_toke
 
         held: list[pa.Array] = []
         ids: list[np.ndarray] = []
-        size = 0
+        size, lot = 0, None
         for batch in batches:
-            for i, raw in enumerate(batch.column("_ids").to_pylist()):
+            for i, (raw, of) in enumerate(zip(batch.column("_ids").to_pylist(), batch.column("_lot").to_pylist(), strict=True)):
+                if ids and of != lot:
+                    yield flush()
+                    held, ids, size = [], [], 0
+                lot = of
                 ids.append(np.frombuffer(raw, "<u2"))
                 held.append(batch.column("_id").slice(i, 1))
                 size += len(raw) // 2
@@ -222,7 +226,7 @@ def _pack(idf: np.ndarray, mean: float, window: int, shard_docs: int, shard_toke
     return run
 
 
-def pack(docs: DataFrame, ranks_path: str, pattern: str, window: int = 1024, shard_docs: int = 4096, shard_tokens: int = 16_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, ranks_path: str, pattern: str, window: int = 1024, shard_docs: int = 4096, shard_tokens: int = 16_000_000, id_col: str = "doc_id", text_col: str = "text", lot: Column | None = None) -> DataFrame:
     """Packs all documents into sequences of `window` ids by lexical retrieval.
 
     Ids come from a byte-level BPE (ranks_path, pattern), and a 0 ends each document.  The ids are
@@ -236,22 +240,25 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, window: int = 1024, sha
     other shards and are then not found.  What is left at a shard's end is cut at powers of two, so
     no sequence needs padding.
 
+    With `lot`, an int of each row, documents are packed with those of their lot only, and sequence_id ascends with the lots: so
+    an order of the input, such as a mixture's, is kept lot by lot.
+
     Returns one row per piece: id, start, length, ids_crc32 (unsigned, of 32-bit ids), doc_tokens,
     sequence_id, offset.  Null and empty texts are the id 0 alone.  Rows that repeat an id, and rows
     without one, are packed each by itself.  An empty input gives no pieces.
     """
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), (F.lit(0) if lot is None else F.coalesce(lot.cast("int"), F.lit(0))).alias("_lot"))
     kind = rows.schema["_id"].dataType.simpleString()
-    tokens = materialize(rows.mapInArrow(_tokenize(ranks_path, pattern), f"_id {kind}, _ids binary"), "ids", compression="zstd")
+    tokens = materialize(rows.mapInArrow(_tokenize(ranks_path, pattern), f"_id {kind}, _ids binary, _lot int"), "ids", compression="zstd")
     counts = dict(tokens.select("_ids").mapInArrow(_document_counts, "token long, n long").groupBy("token").agg(F.sum("n")).collect())
     n, total = counts.pop(-1, 0), counts.pop(-2, 0)
     df = np.zeros(1 << 16)
     df[list(counts)] = list(counts.values())
     idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
     mean = total / max(1, n)
-    keyed = materialize(tokens.mapInArrow(_keys(idf, mean), f"_id {kind}, _ids binary, _key long"), "keyed", compression="zstd")
+    keyed = materialize(tokens.mapInArrow(_keys(idf, mean), f"_id {kind}, _ids binary, _lot int, _key long"), "keyed", compression="zstd")
     # Copies lie side by side; the id spreads even a large group of them over tasks.
-    order = ["_key", F.xxhash64("_ids"), F.xxhash64("_id")]
-    together = keyed.repartitionByRange(max(1, -(-total // PARTITION_TOKENS)), *order).sortWithinPartitions(*order).select("_id", "_ids")
+    order = ["_lot", "_key", F.xxhash64("_ids"), F.xxhash64("_id")]
+    together = keyed.repartitionByRange(max(1, -(-total // PARTITION_TOKENS)), *order).sortWithinPartitions(*order).select("_id", "_ids", "_lot")
     packed = together.mapInArrow(_pack(idf, mean, window, shard_docs, shard_tokens), f"_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     return packed.withColumnRenamed("_id", id_col)

@@ -345,3 +345,32 @@ def test_near_duplicates_of_nothing(spark):
     assert near_duplicates(df).collect() == []
     one = spark.createDataFrame([(1, [0.0, 1.0], 0)], "vec_id bigint, embedding array<float>, label int")
     assert [(r.vec_id, r.n_links, r.kept) for r in near_duplicates(one).collect()] == [(1, 0, True)]
+
+
+def test_packing_keeps_the_order_of_lots(spark, tokenizer):
+    """Sequences ascend with the lots, and none holds documents of two; another order of lots gives other sequences."""
+    rows = [(i, f"alpha beta gamma {i} " * 30) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def run(lot):
+        at = collections.defaultdict(set)
+        for r in pack(docs, *tokenizer, window=256, lot=lot).collect():
+            at[r.sequence_id].add(r.doc_id)
+        return [at[s] for s in sorted(at)]
+
+    up = run((F.col("doc_id") / 20).cast("int"))
+    assert [min(s) // 20 for s in up] == [max(s) // 20 for s in up] == sorted(min(s) // 20 for s in up)
+    down = run(2 - (F.col("doc_id") / 20).cast("int"))
+    assert [min(s) // 20 for s in down] == sorted((min(s) // 20 for s in down), reverse=True) and set().union(*up) == set().union(*down) == set(range(60))
+
+
+def test_pipeline_packs_in_the_mixtures_order(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, f"word {i % 3} " * 50) for i in range(40)], "doc_id long, text string")
+    first = F.when(F.col("doc_id") % 2 == 0, 0).otherwise(1)  # slots: even ids, then odd ones
+    docs.repartitionById(2, first).write.parquet(str(tmp_path / "mixed"))
+    seen = {}
+    for r in corpus_pipeline.packed(spark, spark.read.parquet(str(tmp_path / "mixed")), "").collect():
+        seen.setdefault(r.doc_id % 2, []).append(r.sequence_id)
+    assert max(seen[0]) < min(seen[1])
