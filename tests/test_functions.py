@@ -153,3 +153,41 @@ def test_merge_in_order_equals_a_fold(spark):
     df = spark.createDataFrame(rows, "k int, o int, p string").repartition(3)
     got = {r.k: r.m for r in H.merge_in_order(df, ["k"], "o", "p", "m").collect()}
     assert got == want
+
+
+def test_dom_nodes_cost_the_same_at_any_depth():
+    """What is around a node is what its ancestors say, and isn't looked up through all of them."""
+    import random
+    import time
+
+    rng, p = random.Random(3), H._Nodes()
+    p.feed("".join(rng.choice(["<table>", "<tr>", "<td>", "<th>", "<div>", "</table>", "</tr>", "</td>", "</div>", "x"]) for _ in range(600)))
+    p.close()
+    rows = cells = 0
+    for n in p.nodes:
+        up, at = [], n["parent"]
+        while at >= 0:
+            up.append(p.nodes[at])
+            at = p.nodes[at]["parent"]
+        above = lambda c: next((a[c] for a in up if a[c] is not None), None)  # noqa: B023, E731
+        if n["tag"] == "table":
+            assert n["table_row"] is None and n["table_column"] is None
+        elif n["tag"] == "div":
+            assert (n["table_row"], n["table_column"]) == (above("table_row"), above("table_column"))
+        rows, cells = rows + (n["tag"] == "tr"), cells + (n["tag"] in ("td", "th"))
+    assert rows > 20 and cells > 20
+
+    def took(depth: int) -> float:
+        began = time.process_time()
+        H._Nodes().feed("<div>" * depth)
+        return time.process_time() - began
+
+    assert min(took(6000) for _ in range(3)) < 12 * min(took(1000) for _ in range(3))  # in proportion: 6 times; squared: 36
+
+
+def test_regions_without_texts(spark):
+    html = "<body><main class='pricing'><p>$5 per month</p><p>Free plan $9 per month</p></main><nav><div>$1 $2 $3 $4 pricing plans</div></nav></body>"
+    nodes = H.dom_nodes(spark.createDataFrame([(1, html), (2, "<p>x</p>"), (3, None)], "page_id bigint, html string"))
+    cells = lambda df: [(r.page_id, r.root, r.end, r.score) for r in df.collect()]
+    light = H.pricing_regions(nodes, with_text=False)
+    assert cells(light) == cells(H.pricing_regions(nodes)) and len(cells(light)) == 1 and "text" not in light.columns
