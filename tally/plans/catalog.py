@@ -443,14 +443,14 @@ def dom_nodes(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def pricing_regions(spark: SparkSession, d: str) -> DataFrame:
     """The best container of prices of each page (H-4)."""
-    return H.pricing_regions(H.dom_nodes(table(spark, d, "pages")), least=3).select("page_id", "root", "end", "score")
+    return H.pricing_regions(H.dom_nodes(table(spark, d, "pages")), least=3, with_text=False).select("page_id", "root", "end", "score")
 
 
 @query()
 def page_claims(spark: SparkSession, d: str) -> DataFrame:
     """Price claims of each page's region (H-5, H-7); tested on literal pages."""
     nodes = H.dom_nodes(table(spark, d, "pages"))
-    return PC.claims(PC.region_nodes(nodes, H.pricing_regions(nodes, least=3)))
+    return PC.claims(PC.region_nodes(nodes, H.pricing_regions(nodes, least=3, with_text=False)))
 
 
 @query()

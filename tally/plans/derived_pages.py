@@ -68,7 +68,7 @@ def derived_elements(spark: SparkSession, d: str) -> DataFrame:
 def derived_regions(spark: SparkSession, d: str) -> DataFrame:
     """The best container of prices of each page (H4, O9) and the hash of what it shows."""
     nodes = _nodes(spark, d)
-    regions = written(H.pricing_regions(nodes).drop("text"))
+    regions = written(H.pricing_regions(nodes, with_text=False))
     return regions.join(H.region_hashes(nodes, regions), "page_id")
 
 
@@ -97,6 +97,6 @@ def derived_regions(spark: SparkSession, d: str) -> DataFrame:
 def derived_claims(spark: SparkSession, d: str) -> DataFrame:
     """Positive claims of every page's region (H5, H7), each resting on the smallest element that supports it (H6)."""
     nodes = _nodes(spark, d)
-    regions = written(H.pricing_regions(nodes).drop("text"))
+    regions = written(H.pricing_regions(nodes, with_text=False))
     found = PC.claims(written(PC.region_nodes(nodes, regions)))
     return PC.with_evidence(found, nodes, regions)
