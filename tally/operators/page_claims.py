@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,7 +24,7 @@ FREE_TRIAL = r"(?i)\b(?:(\d+)\s*[- ]?(day|week|month)s?\s+)?free\s+trial\b"
 CARD = r"(?i)\b(?:credit|payment)\s+card\s+required\b"
 NO_CARD = r"(?i)\bno\s+(?:credit|payment)\s+card\s+required\b|\bwithout\s+(?:a\s+)?(?:credit|payment)\s+card\b"
 ALLOWANCE = r"(?i)(\d[\d,]*(?:\.\d+)?\s*(?:k|m|thousand|million)?)\s*(requests?|calls?|queries|tokens?|credits?|points?|minutes?|seconds?|hours?|images?|videos?|generations?|characters?|words?|seats?|users?|members?|gb|gigabytes?)\s*(?:(?:per|/)\s*(month|mo|year|yr|day))?\s*(?:free|included|at no cost)\b"
-PRICE = re.compile(r"(?:(?P<c1>USD|EUR|GBP|CAD|AUD|JPY|CNY|INR)\s*(?P<s1>US\$|CA\$|AU\$|[$€£¥₹])?\s*(?P<a1>\d[\d,]*(?:\.\d{1,4})?)|(?P<s2>US\$|CA\$|AU\$|[$€£¥₹])\s*(?P<a2>\d[\d,]*(?:\.\d{1,4})?)|(?P<a3>\d[\d,]*(?:\.\d{1,4})?)\s*(?P<c3>USD|EUR|GBP|CAD|AUD|JPY|CNY|INR)\b)", re.I)
+PRICE = re.compile(r"(?=[\dUEGCAJI$€£¥₹])(?:(?P<c1>USD|EUR|GBP|CAD|AUD|JPY|CNY|INR)\s*(?P<s1>US\$|CA\$|AU\$|[$€£¥₹])?\s*(?P<a1>\d[\d,]*(?:\.\d{1,4})?)|(?P<s2>US\$|CA\$|AU\$|[$€£¥₹])\s*(?P<a2>\d[\d,]*(?:\.\d{1,4})?)|(?P<a3>\d[\d,]*(?:\.\d{1,4})?)\s*(?P<c3>USD|EUR|GBP|CAD|AUD|JPY|CNY|INR)\b)", re.I)
 PER_UNIT = r"(?i)(?:/|\bper\s+)(request|call|query|queries|token|seat|user|member|credit|point|minute|second|hour|image|video|generation|character|word|gb|gigabyte)s?\b"
 RELATION = r"(?i)(?:/\s*(?:month|mo|year|yr)\b|\bper\s+(?:month|mo|year|yr)\b|\b(?:monthly|yearly|one[- ]time|lifetime)\b|\b(?:starts?|starting)\s+(?:from|at)\b|\b(?:price(?:d|s)?|costs?)\b|\bplans?\s+from\b)"
 PERIOD = r"(?i)(?:/\s*|\bper\s+)?\b(month|mo|year|yr|monthly|yearly)\b"
@@ -75,8 +76,10 @@ def prices(nodes: DataFrame, id_col: str = "page_id") -> DataFrame:
             yield pd.DataFrame(rows, columns=["_id", "node", "size", "raw", "code", "symbol", "price_text", "near"])
 
     found = nodes.select(F.col(id_col).alias("_id"), "node", "text").mapInPandas(run, f"_id {kind}, node int, size int, raw string, code string, symbol string, price_text string, near string")
-    unit = F.lower(F.nullif(F.regexp_extract("near", PER_UNIT, 1), F.lit("")))
-    found = found.withColumnRenamed("_id", id_col).withColumn("amount", F.col("raw").try_cast("decimal(18,4)")).withColumn("unit", unit_name(unit)).where("amount > 0")
+    # Below a generator, which keeps the optimizer from copying the search for a unit into all that is made of it.
+    said = F.struct(F.col("raw").try_cast("decimal(18,4)").alias("amount"), F.lower(F.nullif(F.regexp_extract("near", PER_UNIT, 1), F.lit(""))).alias("unit"))
+    found = found.withColumnRenamed("_id", id_col).withColumn("_said", F.explode(F.array(said)))
+    found = found.withColumns({"amount": F.col("_said.amount"), "unit": unit_name(F.col("_said.unit"))}).drop("_said").where("amount > 0")
     kinds = F.when(F.col("unit").isin(SEATS), "seat").when(F.col("unit").isNotNull(), "metered")
     return found.withColumn("kind", kinds).where(F.col("kind").isNotNull() | F.col("near").rlike(RELATION))
 
@@ -95,14 +98,24 @@ def claims(nodes: DataFrame, id_col: str = "page_id") -> DataFrame:
 
     nodes: region_nodes.  Of the elements that support a claim the shortest counts, then the first.
     """
-    text = F.col("text")
+    text, low = F.col("text"), F.lower("text")
+    some = lambda *words: reduce(lambda a, b: a | b, [low.contains(w) for w in words])
+    # A word that the pattern can't do without is looked for first.
     tests = {
-        "has_free_plan": text.rlike(FREE_PLAN) & ~text.rlike(r"(?i)\bfree\s+trial\b"),
-        "has_free_trial": text.rlike(FREE_TRIAL), "no_card": text.rlike(NO_CARD), "card": text.rlike(CARD),
-        "has_custom_quote": text.rlike(CUSTOM_QUOTE), "free_allowance": text.rlike(ALLOWANCE),
+        "has_free_plan": some("free", "0") & text.rlike(FREE_PLAN) & ~(some("trial") & text.rlike(r"(?i)\bfree\s+trial\b")),
+        "has_free_trial": some("trial") & text.rlike(FREE_TRIAL), "no_card": some("card") & text.rlike(NO_CARD), "card": some("card") & text.rlike(CARD),
+        "has_custom_quote": some("contact", "talk", "custom", "request") & text.rlike(CUSTOM_QUOTE), "free_allowance": some("free", "included", "at no cost") & text.rlike(ALLOWANCE),
     }
-    least = lambda t: F.min_by(F.struct("node", "text"), F.when(t, F.struct(F.length("text").alias("n"), F.col("node"))))
-    found = nodes.groupBy(id_col).agg(*[F.when(F.max(t), least(t)).alias(name) for name, t in tests.items()])
+    # Each element is tested once, below a generator; what supports nothing isn't shuffled.
+    tested = nodes.select(id_col, "node", "text", F.explode(F.array(F.struct(F.length("text").alias("n"), *[t.alias(name) for name, t in tests.items()]))).alias("_t"))
+    tested = tested.where(reduce(lambda a, b: a | b, [F.col(f"_t.{name}") for name in tests]))
+    read = ("has_free_trial", "free_allowance")  # whose values are read from the text
+    least = lambda name: F.min_by(F.struct("node", *["text"] * (name in read)), F.when(F.col(f"_t.{name}"), F.struct("_t.n", "node")))
+    found = tested.groupBy(id_col).agg(*[least(name).alias(name) for name in tests])
+    # Groups of the patterns are read here, below the join with prices, so that none is read again wherever it is used.
+    part = lambda c, p, i: F.nullif(F.regexp_extract(F.col(c)["text"], p, i), F.lit(""))
+    said = {f"_trial{i}": part("has_free_trial", FREE_TRIAL, i) for i in (1, 2)} | {f"_free{i}": part("free_allowance", ALLOWANCE, i) for i in (1, 2, 3)}
+    found = found.withColumns(said)
     no_error = F.lit(None).cast("string")
 
     made: list[Column] = []
@@ -114,37 +127,43 @@ def claims(nodes: DataFrame, id_col: str = "page_id") -> DataFrame:
 
     yes = F.lit("true")
     trial, allow = F.col("has_free_trial"), F.col("free_allowance")
-    part = lambda c, p, i: F.nullif(F.regexp_extract(c["text"], p, i), F.lit(""))
-    unit = unit_name(part(allow, ALLOWANCE, 2))
-    amount = N.decimal_string(N.quantity(part(allow, ALLOWANCE, 1)))
+    unit = unit_name(F.col("_free2"))
+    amount = N.decimal_string(N.quantity("_free1"))
     claim("has_free_plan", F.col("has_free_plan"), yes)
-    claim("has_free_trial", trial, F.to_json(F.struct(F.lit(True).alias("available"), part(trial, FREE_TRIAL, 1).alias("duration"), F.lower(part(trial, FREE_TRIAL, 2)).alias("duration_unit"))), "normalized")
+    claim("has_free_trial", trial, F.to_json(F.struct(F.lit(True).alias("available"), F.col("_trial1").alias("duration"), F.lower(F.col("_trial2")).alias("duration_unit"))), "normalized")
     card = F.coalesce(F.col("no_card"), F.col("card"))
     claim("card_required", card, F.when(F.col("no_card").isNotNull(), "false").otherwise("true"))
     claim("has_custom_quote", F.col("has_custom_quote"), yes)
-    claim("free_allowance", allow, F.to_json(F.struct(amount.alias("quantity"), unit.alias("unit"), unit_family(unit).alias("unit_family"), period_name(part(allow, ALLOWANCE, 3)).alias("period"))), "normalized")
+    claim("free_allowance", allow, F.to_json(F.struct(amount.alias("quantity"), unit.alias("unit"), unit_family(unit).alias("unit_family"), period_name(F.col("_free3")).alias("period"))), "normalized")
 
     p = prices(nodes, id_col)
-    value, why = currency_of(F.col("code"), F.col("symbol"))
-    exponent = F.when(value == "JPY", 0).otherwise(2)
-    minor = F.col("amount") * F.when(value == "JPY", 1).otherwise(100)
-    exact = value.isNotNull() & (minor == F.floor(minor))
-    price = [N.decimal_string("amount").alias("amount"), value.alias("currency"), F.when(exact, minor.cast("long")).alias("amount_minor"), F.when(exact, exponent).alias("currency_exponent")]
-    p = p.withColumns({"why": why, "plain": F.to_json(F.struct(*price)), "rate": F.to_json(F.struct(*price, F.col("unit"), unit_family(F.col("unit")).alias("unit_family"))), "period": period_name(F.nullif(F.regexp_extract("near", PERIOD, 1), F.lit("")))})
-    row = F.struct("node", "plain", "rate", "why", "period", "kind", "unit")
+    row = F.struct("node", "amount", "code", "symbol", "near", "kind", "unit")
     cheap, short = F.struct("amount", "size", "node"), F.struct("size", "amount", "node")
     flat, metered = F.coalesce(F.col("kind"), F.lit("")) != "metered", F.coalesce(F.col("kind"), F.lit("")) == "metered"
     best = p.groupBy(id_col).agg(
-        F.min_by(row, cheap).alias("paid"), F.when(F.max(flat), F.min_by(row, F.when(flat, cheap))).alias("start"), F.when(F.max(metered), F.min_by(row, F.when(metered, short))).alias("usage"),
+        F.min_by(F.struct("node"), cheap).alias("paid"), F.min_by(row, F.when(flat, cheap)).alias("start"), F.min_by(row, F.when(metered, short)).alias("usage"),
         F.max(F.col("near").rlike(SUBSCRIPTION)).alias("subscription"), F.max(F.col("near").rlike(ONE_TIME)).alias("one_time"),
     )
 
+    def told(c: str, *more: Column) -> Column:
+        """A chosen price, with its currency and its JSON: made once a page, not once a price."""
+        value, why = currency_of(F.col(c)["code"], F.col(c)["symbol"])
+        minor = F.col(c)["amount"] * F.when(value == "JPY", 1).otherwise(100)
+        exact = value.isNotNull() & (minor == F.floor(minor))
+        price = [N.decimal_string(F.col(c)["amount"]).alias("amount"), value.alias("currency"), F.when(exact, minor.cast("long")).alias("amount_minor"), F.when(exact, F.when(value == "JPY", 0).otherwise(2)).alias("currency_exponent")]
+        kept = [F.col(c)[k].alias(k) for k in ("node", "kind", "unit")]
+        period = period_name(F.nullif(F.regexp_extract(F.col(c)["near"], PERIOD, 1), F.lit("")))
+        return F.when(F.col(c).isNotNull(), F.struct(*kept, F.to_json(F.struct(*price, *more)).alias("json"), why.alias("why"), period.alias("period"))).alias(c)
+
+    rate_unit = F.col("usage")["unit"]
+    best = best.select(id_col, "paid", told("start"), told("usage", rate_unit.alias("unit"), unit_family(rate_unit).alias("unit_family")), "subscription", "one_time")
+
     state = lambda c: F.when(F.col(c)["why"].isNull(), "normalized").otherwise("failed")
     claim("has_paid_pricing", F.col("paid"), yes, F.lit("not_applicable"))
-    claim("starting_paid_price", F.col("start"), F.col("start")["plain"], state("start"), F.col("start")["why"])
+    claim("starting_paid_price", F.col("start"), F.col("start")["json"], state("start"), F.col("start")["why"])
     claim("starting_price_period", F.col("start"), F.col("start")["period"], F.lit("normalized"), when=F.col("start")["period"].isNotNull())
     claim("has_usage_pricing", F.col("usage"), yes, F.lit("not_applicable"))
-    claim("usage_rate", F.col("usage"), F.col("usage")["rate"], state("usage"), F.col("usage")["why"])
+    claim("usage_rate", F.col("usage"), F.col("usage")["json"], state("usage"), F.col("usage")["why"])
 
     is_ = lambda c, name: F.when(F.coalesce(c, F.lit(False)), name)
     quote, metered_model = F.col("has_custom_quote"), F.col("usage").isNotNull()
@@ -157,7 +176,7 @@ def claims(nodes: DataFrame, id_col: str = "page_id") -> DataFrame:
     models = F.filter(models, lambda x: x.isNotNull())
     source = F.struct(F.coalesce(quote["node"], F.col("paid")["node"]).alias("node"))
     claim("pricing_models", source, F.to_json(models), "normalized", when=F.size(models) > 0)
-    every = found.join(best, id_col, "left").select(id_col, F.explode(F.filter(F.array(*made), lambda x: x.isNotNull())).alias("c"))
+    every = found.join(best, id_col, "full").select(id_col, F.explode(F.filter(F.array(*made), lambda x: x.isNotNull())).alias("c"))
     return every.select(id_col, "c.*")
 
 
