@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,14 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), where the value is computed once, however often the body names it.
+
+    A Column is an expression and not a value: named twice it may be computed twice, and within a lambda over an array once for each item.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def to_number(x) -> Column:
     """Text or number as a double; what isn't a number, and NaN, is null."""
     v = _c(x).try_cast("double")

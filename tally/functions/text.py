@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .numbers import _c
+from .numbers import _c, let
 
 # Suffixes under which names are registered, path parts of pricing and contact pages.
 THREE_LABEL_SUFFIXES = ["co.uk", "com.au", "co.jp", "co.in", "co.nz", "co.kr", "com.br", "com.cn", "com.sg", "com.hk", "co.za", "com.mx"]
@@ -34,8 +34,7 @@ def numbered_slug(base, n) -> Column:
 
 
 def clip(x, limit: int) -> Column:
-    s = collapse(x)
-    return F.when(F.length(s) <= limit, s).otherwise(F.concat(F.rtrim(F.substring(s, 1, limit - 1)), F.lit("…")))
+    return let(collapse(x), lambda s: F.when(F.length(s) <= limit, s).otherwise(F.concat(F.rtrim(F.substring(s, 1, limit - 1)), F.lit("…"))))
 
 
 def split_multi(x) -> Column:
