@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .numbers import _c, to_decimal
+from .numbers import _c, let, to_decimal
 from .pricing import currency, interval, unit
 from .text import collapse, registrable
 
@@ -294,7 +294,9 @@ def key_features(raw, most: int = 6) -> Column:
     items = F.from_json(_c(raw), "array<struct<name:string,feature_name:string,description:string,feature_description:string>>")
     some = lambda a, b, n: snippet(F.coalesce(F.nullif(a, F.lit("")), b), n)
     named = F.filter(F.transform(items, lambda f: F.struct(some(f["name"], f["feature_name"], 120).alias("name"), some(f["description"], f["feature_description"], 240).alias("description"))), lambda f: f["name"] != "")
-    first = F.filter(named, lambda f, i: ~F.exists(F.slice(named, 1, i), lambda g: F.lower(g["name"]) == F.lower(f["name"])))
+    # A name is the first of its kind where it stands at the place of the first like it; the lowered names and the list are made once.
+    lowered = lambda every: let(F.transform(every, lambda f: F.lower(f["name"])), lambda low: F.filter(every, lambda f, i: F.array_position(low, F.get(low, i)) == i + 1))
+    first = let(named, lowered)
     return F.slice(F.coalesce(first, F.array().cast("array<struct<name:string,description:string>>")), 1, most)
 
 
