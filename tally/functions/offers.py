@@ -123,19 +123,20 @@ def consistency_errors(plans) -> Column:
 
 def _first_prices(plans) -> Column:
     """Comparable name to the last public price of that name."""
-    public = F.filter(_c(plans), lambda p: ~p["custom_quote"] & p["amount"].isNotNull() & (F.coalesce(p["currency"], F.lit("")) != "") & (comparable_name(p["name"]) != ""))
-    return F.transform(public, lambda p: F.struct(comparable_name(p["name"]).alias("k"), p["amount"].alias("amount"), p["currency"].alias("currency"), p["name"].alias("name")))
+    public = F.filter(_c(plans), lambda p: ~p["custom_quote"] & p["amount"].isNotNull() & (F.coalesce(p["currency"], F.lit("")) != ""))
+    named = F.transform(public, lambda p: F.struct(comparable_name(p["name"]).alias("k"), p["amount"].alias("amount"), p["currency"].alias("currency"), p["name"].alias("name")))
+    return F.filter(named, lambda p: p["k"] != "")
 
 
 def _last_of_each(prices: Column) -> Column:
-    return F.filter(prices, lambda p, i: ~F.exists(F.slice(prices, i + 2, F.size(prices)), lambda q: q["k"] == p["k"]))
+    return let(prices, lambda every: F.filter(every, lambda p, i: ~F.exists(F.slice(every, i + 2, F.size(every)), lambda q: q["k"] == p["k"])))
 
 
 def price_conflicts(structured, visible) -> Column:
     """Names whose structured price differs from the visible one."""
     a, b = _last_of_each(_first_prices(structured)), _last_of_each(_first_prices(visible))
-    wrong = F.filter(a, lambda p: F.exists(b, lambda q: (q["k"] == p["k"]) & ~((q["amount"] == p["amount"]) & (q["currency"] == p["currency"]))))
-    return F.transform(wrong, lambda p: p["name"])
+    differs = lambda p, q: (q["k"] == p["k"]) & ~((q["amount"] == p["amount"]) & (q["currency"] == p["currency"]))
+    return let(b, lambda shown: F.transform(F.filter(a, lambda p: F.exists(shown, lambda q: differs(p, q))), lambda p: p["name"]))
 
 
 def review_reasons(plans, text_score, found) -> Column:
