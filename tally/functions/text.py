@@ -50,14 +50,14 @@ def domain(x) -> Column:
     host = F.regexp_extract(s, "^([^/?#]*)", 1)
     host = F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":.*$", "")
     host = F.regexp_replace(F.lower(F.regexp_replace(host, r"^\.+|\.+$", "")), r"^www\.", "")
-    return F.when(host.rlike(r"^(?:[a-z0-9-]+\.)+[a-z]{2,63}$"), host).otherwise(F.lit(""))
+    return let(host, lambda h: F.when(h.rlike(r"^(?:[a-z0-9-]+\.)+[a-z]{2,63}$"), h).otherwise(F.lit("")))
 
 
 def registrable(x) -> Column:
     """The last two labels, or three below a suffix that takes two."""
+    last = lambda labels, n: F.array_join(F.slice(labels, F.greatest(F.size(labels) - n + 1, F.lit(1)), F.lit(n)), ".")
     labels = F.filter(F.split(_c(x), r"\."), lambda p: F.trim(p) != "")
-    last = lambda n: F.array_join(F.slice(labels, F.greatest(F.size(labels) - n + 1, F.lit(1)), F.lit(n)), ".")
-    return F.when((F.size(labels) >= 3) & last(2).isin(THREE_LABEL_SUFFIXES), last(3)).otherwise(last(2))
+    return let(labels, lambda p: F.when((F.size(p) >= 3) & last(p, 2).isin(THREE_LABEL_SUFFIXES), last(p, 3)).otherwise(last(p, 2)))
 
 
 def path_parts(url) -> Column:
