@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .documents import page_slices
 from .numbers import _c, to_decimal
 from .offers import plan
 from .text import contact_url_score, is_contact_url, is_pricing_fragment, is_strict_pricing_url, pricing_text_quality, pricing_url_score
@@ -120,7 +121,7 @@ def page_parts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in page_slices(batches, "_html"):
             text, links, offers, names = [], [], [], []
             for url, body in zip(batch.column("_url").to_pylist(), batch.column("_html").to_pylist(), strict=True):
                 parser = _Parts()
