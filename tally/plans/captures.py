@@ -71,15 +71,20 @@ def snapshot_bundles(spark: SparkSession, d: str) -> DataFrame:
 def capture_plan(spark: SparkSession, d: str) -> DataFrame:
     """What each snapshot must do (H9): extract anew, take a screenshot, and how many objects it is the first to need.
 
-    The previous region is found over ranges, so no source is one task; what every fifth snapshot holds is stored already.
+    The previous region is found over ranges, so no source is one task; what every fifth snapshot holds is stored already.  Pages are
+    made once: a region's hash is that of its text's artifact.  Keys are only compared, so they go without their folder, as base64; and only
+    screenshots, of which some aren't wanted, meet the plan.
     """
-    hashed = _pages(spark, d).select("source", "seq", F.sha2("text", 256).alias("region"))
+    short = F.concat_ws("/", "artifact_type", F.base64(F.unhex("content_hash")))
+    made = written(_artifacts(spark, d).select("source", "seq", "artifact_type", short.alias("object_key"), "byte_size"))
+    hashed = made.where("artifact_type = 'text'").select("source", "seq", F.col("object_key").alias("region"))
     before = S.previous_in_key(hashed, ["source"], "seq", "region", "before", written)
     flags = S.capture_flags(F.col("before"), F.col("region"), F.col("seq") % 50 == 0, F.col("seq") % 9 == 0)
     plan = written(before.select("source", "seq", *[c.alias(n) for n, c in flags.items()]))
-    made = written(_artifacts(spark, d).select("source", "seq", "artifact_type", "object_key", "byte_size"))
     stored = made.where("seq % 5 = 0").select("object_key").distinct()
-    first = S.uploads(made.join(plan.select("source", "seq", "capture_screenshot"), ["source", "seq"]), stored, "seq")
+    shots = made.where("artifact_type = 'screenshot'").join(plan.select("source", "seq", "capture_screenshot"), ["source", "seq"])
+    others = made.where("artifact_type <> 'screenshot'").withColumn("capture_screenshot", F.lit(False))
+    first = S.uploads(shots.unionByName(others), stored, "seq")
     n = first.groupBy("seq").agg(F.count("*").alias("uploads"))
     return plan.join(n, "seq", "left").select("source", "seq", "region_changed", "run_extraction", "capture_screenshot", F.coalesce("uploads", F.lit(0)).alias("uploads"))
 
