@@ -12,31 +12,35 @@ from pyspark.sql import functions as F
 Link = tuple[str, str, str, str]  # child, its column, parent, its column
 
 
-def cascade(tables: dict[str, DataFrame], links: list[Link], doomed: dict[str, Column]) -> dict[str, tuple[DataFrame, DataFrame]]:
-    """What stays and what goes in each table when rows are deleted with all that hangs on them.
+def marked(tables: dict[str, DataFrame], links: list[Link], doomed: dict[str, Column]) -> dict[str, tuple[DataFrame, bool]]:
+    """Each table with a boolean `_gone`, and whether any of its rows can go, when rows are deleted with all that hangs on them.
 
     doomed: a condition for each table where the delete starts (null: stays).  A row goes with any of its parents, over any
-    number of links; a null key has no parent.  Parents come first, so each link is one semi join against the distinct keys of the parent's
-    rows that go; a parent of which nothing can go costs nothing.  Links in a circle raise.
+    number of links; a null key has no parent.  Parents come first, so each link is one join with the distinct keys of the parent's
+    rows that go; a parent of which nothing can go costs nothing.  Those keys are hashed and the children stream past them: no task sorts
+    its children, of which there are many more.  Links in a circle raise.
     """
     order = TopologicalSorter({t: [p for c, _, p, _ in links if c == t] for t in tables}).static_order()
-    out: dict[str, tuple[DataFrame, DataFrame]] = {}
+    out: dict[str, tuple[DataFrame, bool]] = {}
     for table in order:
         rows, marks = tables[table], []
         if table in doomed:
             rows = rows.withColumn("_m0", F.coalesce(doomed[table], F.lit(False)))
             marks.append("_m0")
         for i, (child, column, parent, key) in enumerate(links, 1):
-            if child == table and out[parent][1] is not None:
-                gone = out[parent][1].select(F.col(key).alias(f"_k{i}")).where(F.col(f"_k{i}").isNotNull()).distinct()
+            if child == table and out[parent][1]:
+                gone = out[parent][0].where("_gone").select(F.col(key).alias(f"_k{i}")).where(F.col(f"_k{i}").isNotNull()).distinct().hint("shuffle_hash")
                 rows = rows.join(gone, F.col(column) == F.col(f"_k{i}"), "left").withColumn(f"_m{i}", F.col(f"_k{i}").isNotNull()).drop(f"_k{i}")
                 marks.append(f"_m{i}")
-        if not marks:
-            out[table] = (rows, None)
-            continue
-        goes = reduce(lambda a, b: a | b, [F.col(m) for m in marks])
-        out[table] = tuple(rows.where(w).drop(*marks) for w in (~goes, goes))
-    return {t: (stays, stays.where("false") if goes is None else goes) for t, (stays, goes) in out.items()}
+        goes = reduce(lambda a, b: a | b, [F.col(m) for m in marks], F.lit(False))
+        out[table] = (rows.withColumn("_gone", goes).drop(*marks), bool(marks))
+    return out
+
+
+def cascade(tables: dict[str, DataFrame], links: list[Link], doomed: dict[str, Column]) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """What stays and what goes in each table, as `marked` tells."""
+    split = lambda m: tuple(m.where(w).drop("_gone") for w in ("NOT _gone", "_gone"))
+    return {t: split(m) if some else (tables[t], tables[t].where("false")) for t, (m, some) in marked(tables, links, doomed).items()}
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:

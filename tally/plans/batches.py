@@ -55,13 +55,12 @@ _GONE = """gc AS (SELECT c_custkey FROM customer WHERE c_acctbal < 0),
     SELECT 'lineitem', l_orderkey, l_linenumber, l_orderkey IN (SELECT o_orderkey FROM go) FROM lineitem""")
 def cascading_delete(spark: SparkSession, d: str) -> DataFrame:
     """Every row of three tables and whether it goes with a customer in debt or a pending order."""
-    split = K.cascade(_tables(spark, d), LINKS, {"customer": F.col("c_acctbal") < 0, "orders": F.col("o_orderstatus") == "P"})
+    tables = K.marked(_tables(spark, d), LINKS, {"customer": F.col("c_acctbal") < 0, "orders": F.col("o_orderstatus") == "P"})
     keys = {"customer": ("c_custkey", F.lit(0)), "orders": ("o_orderkey", F.lit(0)), "lineitem": ("l_orderkey", F.col("l_linenumber"))}
     out = None
-    for name, sides in split.items():
-        for rows, gone in zip(sides, (False, True), strict=True):
-            part = rows.select(F.lit(name).alias("name"), F.col(keys[name][0]).alias("k"), keys[name][1].cast("long").alias("line"), F.lit(gone).alias("gone"))
-            out = part if out is None else out.unionByName(part)
+    for name, (rows, _) in tables.items():
+        part = rows.select(F.lit(name).alias("name"), F.col(keys[name][0]).alias("k"), keys[name][1].cast("long").alias("line"), F.col("_gone").alias("gone"))
+        out = part if out is None else out.unionByName(part)
     return out
 
 
