@@ -24,8 +24,8 @@ def collapse(x) -> Column:
 
 def slug(x, longest: int = 120) -> Column:
     """Lower-case words joined by hyphens; empty when longer than `longest`."""
-    s = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(_c(x), F.lit(""))), "[^a-z0-9]+", "-"), "^-+|-+$", "")
-    return F.when(F.length(s) <= longest, s).otherwise(F.lit(""))
+    s = F.trim(F.regexp_replace(F.lower(F.coalesce(_c(x), F.lit(""))), "[^a-z0-9]+", "-"), F.lit("-"))
+    return F.regexp_replace(s, f"^.{{{longest + 1},}}$", "")  # names s once: a column named twice may be computed twice
 
 
 def numbered_slug(base, n) -> Column:

@@ -68,9 +68,10 @@ def settled_entity(decision: str, kind: str, source: str) -> Column:
 def _named(answers: DataFrame, key: str, items: Column, names: tuple[str, ...], default: float, **more: Column) -> DataFrame:
     """Items of a list as rows: place, slug, confidence, the item itself, and more columns made of it.
 
-    An item is read once, below a generator that keeps the optimizer from copying the reading into all that is made of it.
+    A list and an item are read once, below generators that keep the optimizer from copying the reading into all that is made of them:
+    into the test for empty lists, which would make and parse an answer twice more.
     """
-    rows = answers.select(key, "url", F.posexplode(items).alias("place", "item"))
+    rows = answers.select(key, "url", F.explode(F.array(items)).alias("_items")).select(key, "url", F.posexplode("_items").alias("place", "item"))
     thing = F.col("item").startswith("{")
     name = F.coalesce(*[F.nullif(F.get_json_object("item", f"$.{n}"), F.lit("")) for n in names])
     read = {"slug": slug(F.when(thing, name).otherwise(F.col("item"))), "_sure": F.when(thing, F.get_json_object("item", "$.confidence")), **more}
