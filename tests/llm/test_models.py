@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tally.llm import kneser_ney
 from tally.llm.mixing import integer_shares, mix_sources, pfair_period, schedule
 from tally.llm.neardup import near_duplicates
+from tally.llm import packing
 from tally.llm.packing import Shard, Tokens, pack
 from tally.llm import quality
 from tally.llm.quality import classify_quality
@@ -245,6 +246,31 @@ def test_ids_of_added_tokens_and_long_white_space(tokenizer):
         assert np.frombuffer(own.of(t), "<u2").tolist() == reference.encode(t, add_special_tokens=False).ids, repr(t[:20])
 
 
+def test_ids_need_no_look_ahead(spark, tokenizer):
+    """The tokenizer's pattern is searched without a look-ahead, and texts are cut where that matters: with each kind of blank, the ids stay."""
+    T = pytest.importorskip("tokenizers")
+    own, again = packing._tokens(*tokenizer), packing._tokens(*tokenizer)
+    assert own is again and own.cuts and "(?!" not in packing.PLAIN
+    reference, rng = T.Tokenizer.from_file(own.reference_path), random.Random(4)
+    blanks = [chr(c) for c in (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+    others = [chr(c) for c in (*range(28, 32), 0x180E, 0x200B, 0x2060, 0xFEFF)]
+    texts = [a + w + b + x + b + a for w in ("", "word", "'s", "7") for x in ("A" * 40, "!") for a in blanks + others for b in (a, " ", "\n", "\u3000")]
+    texts += ["".join(rng.choices([*blanks, *others, "word", "7", "'s", "é", "long words of prose " * 4], k=12)) for _ in range(2000)] + ["", "  ", " a", "a  ", None]
+    out = pack(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), *tokenizer, window=1 << 14).collect()
+    expected = [[*e.ids, 0] for e in reference.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for r in out:
+        part = np.array(expected[r.doc_id][r.start : r.start + r.length], "<u4")
+        assert r.doc_tokens == len(expected[r.doc_id]) and r.ids_crc32 == zlib.crc32(part.tobytes()), repr(texts[r.doc_id])
+    assert sum(r.length for r in out) == sum(map(len, expected))
+
+
+def test_distinct_is_unique():
+    rng = np.random.default_rng(5)
+    for a in [rng.integers(0, top, n).astype("<u2") for n in (0, 1, 2, 15, 16, 17, 300, 5000) for top in (1, 2, 50, 1 << 16)]:
+        for x, y in zip(packing._distinct(a), np.unique(a, return_counts=True), strict=True):
+            assert x.tolist() == y.tolist() and x.dtype == y.dtype
+
+
 def test_packing_round_trip(spark, tokenizer):
     rows = [r for r in corpus() if r[0] is not None]
     rows = [r for r in rows if [x[0] for x in rows].count(r[0]) == 1]
