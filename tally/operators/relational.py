@@ -130,6 +130,34 @@ def jaccard(a, b) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(both / F.size(F.array_union(a, b)))
 
 
+#: Sets of candidates with a common word that one task compares with the known sets of that word.
+SHARE = 4096
+
+
+def most_similar(candidates: DataFrame, known: DataFrame) -> DataFrame:
+    """candidate, subject, similarity: of all known subjects the one whose words are most like the candidate's, of equals the smallest.
+
+    candidates: candidate, words; known: subject, words; null words count as none.  No pair is left out: an equal set is the best there
+    is; else sets meet by each word that they share, and a frequent word's candidates are dealt out over tasks; a candidate that
+    shares no word has similarity 0.  Rows with the same words are compared once, and no pair is shuffled.
+    """
+    words = F.array_sort(F.array_distinct(F.coalesce("words", F.array().cast("array<string>"))))
+    every = candidates.select("candidate", words.alias("_a"))
+    sets = every.select("_a").distinct()
+    of_set = known.groupBy(words.alias("_b")).agg(F.min("subject").alias("subject"))
+    same = (F.col("_a") == F.col("_b")) & (F.size("_a") > 0)
+    equal = sets.join(of_set, same).select("_a", "subject", F.lit(1.0).alias("similarity"))
+    mine = sets.join(of_set, same, "left_anti").withColumn("_word", F.explode("_a"))
+    shares = mine.groupBy("_word").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("_shares"))
+    mine = mine.join(shares, "_word").withColumn("_share", F.pmod(F.xxhash64("_a"), F.col("_shares")).cast("int"))
+    theirs = of_set.withColumn("_word", F.explode("_b")).join(shares, "_word").withColumn("_share", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)))
+    pairs = mine.join(theirs, ["_word", "_share"]).select("_a", "subject", jaccard("_a", "_b").alias("_j"))
+    near = pairs.groupBy("_a").agg(F.max_by("subject", F.struct(F.col("_j"), -F.col("subject"))).alias("subject"), F.max("_j").alias("similarity"))
+    least = known.agg(F.min("subject").alias("_least"))
+    best = every.join(equal.unionByName(near), "_a", "left").crossJoin(F.broadcast(least))
+    return best.select("candidate", F.coalesce("subject", "_least").alias("subject"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
+
+
 def absolute_gate(covered: str, total: str, bps: int) -> Column:
     """Least count max(1, ceil(total * bps / 10000)) in integers."""
     least = F.greatest(F.lit(1).cast("long"), F.floor((F.col(total) * bps + 9999) / 10000).cast("long"))

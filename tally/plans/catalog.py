@@ -298,19 +298,16 @@ def latest_taxonomy_version(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    WITH t AS (SELECT p_partkey, p_brand, p_type, p_size, list_distinct(string_split(lower(p_name), ' ')) AS s FROM part),
-         c AS (SELECT a.p_partkey AS candidate, b.p_partkey AS subject, len(list_intersect(a.s, b.s)) AS i, len(a.s) + len(b.s) - len(list_intersect(a.s, b.s)) AS u FROM t a JOIN t b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_size = b.p_size WHERE a.p_partkey % 2 = 0 AND b.p_partkey % 2 = 1)
-    SELECT candidate, arg_max(subject, (CAST(i AS DOUBLE) / u, -subject)) AS subject, round(max(CAST(i AS DOUBLE) / u), 6) AS similarity FROM c GROUP BY 1""")
+    WITH t AS (SELECT p_partkey, coalesce(list_sort(list_distinct(string_split(lower(p_name), ' '))), []) AS s FROM part),
+         a AS (SELECT DISTINCT s FROM t WHERE p_partkey % 2 = 0), b AS (SELECT s, min(p_partkey) AS subject FROM t WHERE p_partkey % 2 = 1 GROUP BY 1),
+         c AS (SELECT a.s, subject, coalesce(len(list_intersect(a.s, b.s)) / CAST(nullif(len(a.s) + len(b.s) - len(list_intersect(a.s, b.s)), 0) AS DOUBLE), 0) AS j FROM a LEFT JOIN b ON TRUE),
+         m AS (SELECT s, arg_max(subject, (j, -subject)) AS subject, round(max(j), 6) AS similarity FROM c GROUP BY 1)
+    SELECT p_partkey AS candidate, subject, similarity FROM t JOIN m USING (s) WHERE p_partkey % 2 = 0""")
 def identity_jaccard(spark: SparkSession, d: str) -> DataFrame:
-    """The most similar known part of a part, compared within brand, type and size."""
-    block = ["p_brand", "p_type", "p_size"]
-    t = table(spark, d, "part").select("p_partkey", *block, F.array_distinct(F.split(F.lower("p_name"), " ")).alias("s"))
-    # Parts with the same words are compared once; of known ones the smallest stands for all.
-    known = t.where("p_partkey % 2 = 1").groupBy(*block, F.col("s").alias("sb")).agg(F.min("p_partkey").alias("subject"))
-    a = t.where("p_partkey % 2 = 0").withColumnsRenamed({"p_partkey": "candidate", "s": "sa"})
-    pairs = a.select(*block, "sa").distinct().join(known, block).select(*block, "sa", "subject", R.jaccard("sa", "sb").alias("j"))
-    best = pairs.groupBy(*block, "sa").agg(F.max_by("subject", F.struct(F.col("j"), -F.col("subject"))).alias("subject"), F.round(F.max("j"), 6).alias("similarity"))
-    return a.join(best, [*block, "sa"]).select("candidate", "subject", "similarity")
+    """The most similar known part of every part, among all known ones."""
+    t = table(spark, d, "part").select("p_partkey", F.split(F.lower("p_name"), " ").alias("words"))
+    out = R.most_similar(t.where("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "candidate"), t.where("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "subject"))
+    return out.withColumn("similarity", F.round("similarity", 6))
 
 
 @query("""
