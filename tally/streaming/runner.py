@@ -167,6 +167,56 @@ def atomic_sink(store: TableSet, name: str, tables: Callable[[DataFrame], dict[s
     return sink
 
 
+def gathering_sink(store: TableSet, name: str, tables: Callable[[DataFrame], dict[str, DataFrame]], late_seconds: int = 3600, most: int = 32, patience_seconds: int = 86_400, token: int | None = None) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink for parts of groups (key, part, parts, payload, at), with the rules of `stateful.whole_groups`, for bulk data.
+
+    What `tables` makes of the groups that a batch decides (key, action, parts, payload, at) is appended in one commit with the state, so a
+    batch that runs again changes nothing.  State is three tables of the set: <name>.open holds the parts of groups that wait and
+    is replaced, <name>.done the keys of finished ones, <name>.clock the newest time seen.  A batch is a join and a grouping of its own
+    rows with what is open, on Spark's side alone; it costs a scan of the finished keys as well, so batches should be large.
+    Of a part that comes again while its group waits the newest counts.  A group is `incomplete` in the batch whose rows, less
+    `late_seconds`, pass its last part by `patience_seconds`.
+    """
+    waiting, done, clock = (f"{name}.{x}" for x in ("open", "done", "clock"))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        base = store.snapshot()
+        if base.done.get(name, -1) >= batch_id:
+            return
+        spark, late, patience = batch.sparkSession, late_seconds * 1_000_000, patience_seconds * 1_000_000
+        before = base.read(clock).first()[0] if clock in base.parts else None
+        at = F.unix_micros(F.col("at").cast("timestamp"))
+        rows = batch.select(F.coalesce(F.col("key").cast("string"), F.lit("")).alias("key"), F.col("part").cast("long").alias("part"), F.col("parts").cast("long").alias("parts"), F.col("payload").cast("string").alias("payload"), at.alias("at"))
+        rows = rows.where("at IS NOT NULL AND part IS NOT NULL AND parts IS NOT NULL")
+        if before is not None:
+            rows = rows.where(F.col("at") > before - late)
+        # Only places that count are held, so a group holds at most `most` payloads.
+        rows = rows.withColumn("part", F.when((F.col("part") >= 0) & (F.col("part") < F.col("parts")) & (F.col("parts") <= most), F.col("part"))).withColumn("last", F.col("at"))
+        if done in base.parts:
+            rows = rows.join(base.read(done), "key", "left_anti")
+        if waiting in base.parts:
+            rows = rows.unionByName(base.read(waiting))
+        newest = F.max_by(F.struct("payload", "at"), F.struct("at", "payload")).alias("p")
+        held = rows.repartition("key").groupBy("key", "part").agg(F.max("parts").alias("parts"), F.max("last").alias("last"), newest)
+        piece = F.when(F.col("part").isNotNull(), F.struct("part", "p.payload", "p.at"))
+        groups = held.groupBy("key").agg(F.max("parts").alias("parts"), F.max("last").alias("last"), F.array_sort(F.collect_list(piece)).alias("held"))
+        path = f"{store.root}/steps/{name}-{batch_id}"
+        groups.write.mode("overwrite").parquet(path)
+        groups = spark.read.schema(groups.schema).parquet(path)
+        now = max((x for x in (before, groups.agg(F.max("last")).first()[0]) if x is not None), default=None)
+        action = F.when(F.col("parts") > most, "refused").when((F.col("parts") > 0) & (F.size("held") == F.col("parts")), "whole")
+        groups = groups.withColumn("action", action.when(F.col("last") + patience <= F.lit(now).cast("long") - late, "incomplete"))
+        decided, still = groups.where("action IS NOT NULL"), groups.where("action IS NULL")
+        payload = F.when(F.col("action") == "whole", F.col("held.payload")).alias("payload")
+        out = tables(decided.select("key", "action", "parts", payload, F.timestamp_micros("last").alias("at")))
+        still = still.select("key", "parts", "last", F.explode_outer("held").alias("h")).select("key", "h.part", "parts", "h.payload", F.coalesce("h.at", "last").alias("at"), "last")
+        state = {waiting: still, clock: spark.range(1).select(F.lit(now).cast("long").alias("at"))}
+        store.commit(replace=state, append=out | {done: decided.select("key")}, base=base, by=(name, batch_id), fence=None if token is None else (name, token))
+        store.remove(path)
+
+    return sink
+
+
 def to_files(stream: DataFrame, root: str) -> None:
     """Runs a stream to the end of its input into files below root/data, resuming at root/checkpoint."""
     stream.writeStream.format("parquet").option("path", f"{root}/data").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
