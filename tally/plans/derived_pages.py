@@ -67,9 +67,8 @@ def derived_elements(spark: SparkSession, d: str) -> DataFrame:
     SELECT page AS page_id, root, "end", score, n_nodes, region_hash FROM region JOIN h USING (page)""")
 def derived_regions(spark: SparkSession, d: str) -> DataFrame:
     """The best container of prices of each page (H4, O9) and the hash of what it shows."""
-    nodes = _nodes(spark, d)
-    regions = written(H.pricing_regions(nodes, with_text=False))
-    return regions.join(H.region_hashes(nodes, regions), "page_id")
+    regions = H.tree_hashes(H.tree_regions(H.page_trees(_pages(spark, d))))
+    return regions.select("page_id", "root", "end", "score", "n_nodes", "region_hash")
 
 
 @query(f"""
