@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tally.functions import documents as H
 from tally.operators import page_claims as PC
-from tally.plans.batches import written
 from tally.plans.catalog import query
 from tally.sources.tables import table
 
@@ -48,11 +47,6 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
     return line.agg(rows.alias("rows")).select("page_id", html.alias("html"))
 
 
-def _nodes(spark: SparkSession, d: str) -> DataFrame:
-    """All elements, parsed once: every step reads the written rows."""
-    return written(H.dom_nodes(_pages(spark, d)))
-
-
 @query(f"""WITH {_PAGES} SELECT page AS page_id, node, parent, "end", tag, hidden, table_row, table_column, CAST(length(text) AS INTEGER) AS n_text, sha256(text) AS text_hash FROM node""")
 def derived_elements(spark: SparkSession, d: str) -> DataFrame:
     """Every element of every page (H2, H3) with its subtree and its place in the table."""
@@ -95,7 +89,4 @@ def derived_regions(spark: SparkSession, d: str) -> DataFrame:
     FROM (SELECT claim.*, cell.i, cell.said FROM claim JOIN cell ON cell.page = claim.page AND cell.node = claim.node) c JOIN region r ON r.page = c.page""")
 def derived_claims(spark: SparkSession, d: str) -> DataFrame:
     """Positive claims of every page's region (H5, H7), each resting on the smallest element that supports it (H6)."""
-    nodes = _nodes(spark, d)
-    regions = written(H.pricing_regions(nodes, with_text=False))
-    found = PC.claims(written(PC.region_nodes(nodes, regions)))
-    return PC.with_evidence(found, nodes, regions)
+    return PC.tree_claims(H.tree_regions(H.page_trees(_pages(spark, d))))
